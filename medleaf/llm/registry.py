@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from medleaf.llm.jaccard_join import op2_jaccard_join
 from medleaf.llm.mixing import op1_pivotal_mix
 from medleaf.llm.packing import op6_vector_best_fit
 from medleaf.llm.sharding import op7_ring_sharding
 from medleaf.llm.toxicity import op5_boosted_toxicity
 
-QUERIES = [op1_pivotal_mix, op5_boosted_toxicity, op6_vector_best_fit, op7_ring_sharding]
+QUERIES = [op1_pivotal_mix, op2_jaccard_join, op5_boosted_toxicity, op6_vector_best_fit, op7_ring_sharding]
 
 
 def queries():

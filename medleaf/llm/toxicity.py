@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -136,7 +137,15 @@ def learn_lexicon(texts: list[bytes], toxic: np.ndarray, least: int = 4) -> Lexi
     A word stands out when it is in `least` toxic rows or more and the 95 % lower bound of its log odds is over 1. As a
     beginning, it must also be shared by three words at least, so that a single word is not counted as a stem.
     """
-    docs = [{_EDGE.sub("", w.decode("utf-8", "replace").lower()) for w in (t or b"").split()} for t in texts]
+    shared: dict[bytes, str] = {}  # one string for each word, however many texts hold it
+
+    def plain(raw: bytes) -> str:
+        if (word := shared.get(raw)) is None:
+            word = shared[raw] = sys.intern(_EDGE.sub("", raw.decode("utf-8", "replace").lower()))
+        return word
+
+    docs = [frozenset(map(plain, (t or b"").split())) for t in texts]
+    shared.clear()
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
 
     def weigh(make) -> dict[str, float]:
@@ -275,7 +284,7 @@ def fit(texts: list[bytes | None], toxic: np.ndarray, seed: int = 5) -> Model:
     return Model(learn_lexicon(texts, toxic), boost(x, y), isotonic(raw, y))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, folds: int = 5, held_out: int = 0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6_000, folds: int = 5, held_out: int = 0) -> Model:
     """Fits on at most `max_rows` labelled rows whose crc32(doc_id) modulo `folds` is not `held_out`.
 
     Rows come in the order of a hash of their ids, so that the sample does not depend on partitions. Rows without a
