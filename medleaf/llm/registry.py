@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+from medleaf.llm.ctph import op10_piecewise_hash
+from medleaf.llm.html_text import op9_line_blocks
+from medleaf.llm.interpolated_lm import op4_deleted_interpolation
 from medleaf.llm.jaccard_join import op2_jaccard_join
 from medleaf.llm.mixing import op1_pivotal_mix
+from medleaf.llm.mpeg_audio import op3_mpeg_audio
 from medleaf.llm.packing import op6_vector_best_fit
 from medleaf.llm.sharding import op7_ring_sharding
 from medleaf.llm.toxicity import op5_boosted_toxicity
+from medleaf.llm.warc import OP8_SQL, op8_segment_reassembly
 
-QUERIES = [op1_pivotal_mix, op2_jaccard_join, op5_boosted_toxicity, op6_vector_best_fit, op7_ring_sharding]
+QUERIES = [
+    op1_pivotal_mix,
+    op2_jaccard_join,
+    op3_mpeg_audio,
+    op4_deleted_interpolation,
+    op5_boosted_toxicity,
+    op6_vector_best_fit,
+    op7_ring_sharding,
+    op8_segment_reassembly,
+    op9_line_blocks,
+    op10_piecewise_hash,
+]
 
 
 def queries():
@@ -16,4 +32,5 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    """The others draw by hash, learn, pack or parse: tests hold them against brute force instead."""
+    return {"op8_segment_reassembly": OP8_SQL}
