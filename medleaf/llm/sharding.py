@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -38,6 +39,15 @@ def ring_points(shards: int, vnodes: int, bits: int) -> list[tuple[int, int]]:
     return sorted(points)
 
 
+def arc_table(points: list[int], bits: int) -> Iterator[tuple[int, int, bool]]:
+    """(cell, arc, wrapped) of every cell of the coarse ring: its arc is that of the first point at or after it."""
+    arc = 0
+    for cell in range(1 << bits):
+        while arc < len(points) and points[arc] < cell:
+            arc += 1
+        yield (cell, arc, False) if arc < len(points) else (cell, 0, True)
+
+
 def settle(arcs: list[int], owners: list[int], capacity: list[int]) -> list[tuple[int, int, int, int, int]]:
     """Segments (arc, first rank, end rank, shard, first slot): who takes which ranks of which arc.
 
@@ -73,16 +83,16 @@ def assign_shards(df: DataFrame, key: Column, shards: int, vnodes: int = 64, loa
     spark = df.sparkSession
     rows = df.count()
     arcs_n = shards * vnodes
-    bits = min(40, max(math.ceil(math.log2(arcs_n)) + 2, math.ceil(math.log2(max(rows, 1) / 1000 + 1))))
-    points = ring_points(shards, vnodes, bits)
-    # cell -> arc: the arc of a cell is the first point at or after it; the last stretch wraps to point 0
-    borders = spark.createDataFrame([(arc, -1 if arc == 0 else points[arc - 1][0], cell) for arc, (cell, _) in enumerate(points)] + [(0, points[-1][0], 1 << bits)], "arc int, after long, upto long")
+    coarse = math.ceil(math.log2(arcs_n)) + 2  # points lie on the borders of 2**coarse cells
+    bits = min(40, max(coarse, math.ceil(math.log2(max(rows, 1) / 1000 + 1))))
+    points = ring_points(shards, vnodes, coarse)
+    arc_of = spark.createDataFrame(list(arc_table([c for c, _ in points], coarse)), "big_cell long, arc int, wrapped boolean")
     hashed = df.drop("shard", "slot").withColumn("__pos", F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit((1 << RING_BITS) - 1)))
     hashed = hashed.withColumn("__cell", F.shiftright("__pos", RING_BITS - bits))
     cells = hashed.groupBy("__cell").agg(F.count("*").alias("__n"))
-    cells = cells.join(F.broadcast(borders), (F.col("__cell") > F.col("after")) & (F.col("__cell") <= F.col("upto")))
-    # the wrapped stretch of arc 0 comes before its other cells
-    ahead = W.partitionBy("arc").orderBy(F.col("after") < 0, "__cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.join(F.broadcast(arc_of), F.shiftright("__cell", bits - coarse) == F.col("big_cell"))
+    # the stretch of arc 0 behind the last point comes before its other cells
+    ahead = W.partitionBy("arc").orderBy(F.col("wrapped").desc(), "__cell").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.select("__cell", "arc", "__n", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__offset"))
     counts = [0] * arcs_n
     for arc, n in cells.groupBy("arc").agg(F.sum("__n")).collect():  # as many rows as there are virtual nodes
