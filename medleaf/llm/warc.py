@@ -99,7 +99,7 @@ def write_archives(pages: DataFrame, segment_bytes: int = 16_384, archive_bytes:
     pages = pages.withColumn("digest", F.sha2("html", 256))
     firsts = pages.filter(F.octet_length("html") >= LEAST_DUPLICATE).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     firsts = firsts.filter("n > 1 and first is not null").select("digest", "first")
-    marked = pages.join(firsts, "digest", "left").withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") <> F.col("first")), F.col("first")))
+    marked = pages.join(firsts, "digest", "left").withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
