@@ -77,7 +77,8 @@ def _page(rows: DataFrame, order: list[Column], size: int, page: int | None) ->
 
 
 def _listing_order(products: DataFrame, generic: str, brand: str, key: str) -> list[Column]:
-    return [F.asc_nulls_last(generic), F.asc_nulls_last(brand), F.asc_nulls_last(key)]
+    same = ["product_id"] if "product_id" in products.columns else []
+    return [F.asc_nulls_last(c) for c in (generic, brand, key, *same)]
 
 
 def list_products(products: DataFrame, size: int = PAGE, page: int | None = None, generic: str = "generic_name", brand: str = "brand_name", key: str = "product_ndc") -> DataFrame:

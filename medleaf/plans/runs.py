@@ -11,7 +11,7 @@ from medleaf.operators import runs as R
 from medleaf.plans.bindings import EVENTS, run_events, table
 from medleaf.streaming import progress as P
 
-NOW = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+NOW = "2024-01-31 00:00:00"
 
 
 def run_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def latest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentage and time left of every run's last update."""
     last = _updates(spark, sf_dir).groupBy("run_id").agg(*[F.max_by(c, "seq").alias(c) for c in ("status", "done", "total", "pct", "elapsed_seconds")], F.min("started_at").alias("started_at"))
-    rows = R.with_estimates(last, NOW)
+    rows = R.with_estimates(last, F.lit(NOW).cast("timestamp_ntz"))
     return rows.select("run_id", F.round("pct", 6).alias("pct"), "done", F.round("eta_seconds", 3).alias("eta_seconds"), F.date_trunc("second", "estimated_finish_at").cast("timestamp_ntz").alias("finish_second"))
 
 

@@ -55,7 +55,7 @@ def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
             if not buffer:
                 raise ValueError
             value, end = decoder.raw_decode(buffer)
-            if end == len(buffer) and not ended:
+            if not ended and (end == len(buffer) or buffer[end] not in ",] \t\r\n"):
                 raise ValueError  # a number may go on
         except ValueError:
             if ended:

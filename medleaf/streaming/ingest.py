@@ -27,6 +27,7 @@ def ingest(records: DataFrame, normal: Callable[[DataFrame], DataFrame], table:
     spark, name = records.sparkSession, publish.staged_name(table, run)
 
     def add(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
         rows = P.last_per_key(normal(batch), key, "archive", "pos").drop("archive", "pos")
         if spark.catalog.tableExists(name):
             publish.append_new(rows, name, key)
@@ -35,7 +36,10 @@ def ingest(records: DataFrame, normal: Callable[[DataFrame], DataFrame], table:
 
     query = records.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.table(name).count() if spark.catalog.tableExists(name) else 0
+    if not spark.catalog.tableExists(name):
+        return 0
+    spark.catalog.refreshTable(name)  # batches run in a session of their own
+    return spark.read.table(name).count()
 
 
 def finish(spark: SparkSession, table: str, run: str, key: str, staged: int, expected: int) -> None:
