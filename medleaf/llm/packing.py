@@ -9,6 +9,8 @@ those of other blocks.
 
 from __future__ import annotations
 
+import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,18 +29,27 @@ _encoders: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Token ids of white-space-free words, as little-endian 32-bit bytes, remembered in two generations of bounded size.
 
-    The tokenizer never joins across white space, so the ids of a text are those of its words in turn.
+    The tokenizer lower-cases and never joins across white space, so the ids of a text are those of its words in turn. A
+    mark after a letter is a token of its own, so that a word with a comma needs no more than the word and the comma.
     """
 
-    def __init__(self, path: str, keep: int = 250_000):
+    MARKS = frozenset(b".,;:!?")
+
+    def __init__(self, path: str, keep: int = 700_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism; threads would spin over few words
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keep, self.young, self.old = keep, {}, {}
 
+    def encode(self, words: list[bytes]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
+            ids = e.ids
+            self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: bytes | None) -> bytes:
-        words = (text or b"").split()
+        words = (text or b"").lower().split()
         young = self.young
         try:
             return b"".join(map(young.__getitem__, words))
@@ -46,16 +57,26 @@ class WordEncoder:
             pass
         if len(young) > self.keep:
             self.old, self.young = young, (young := {})
-        missing, old = [], self.old
+        missing, marked, old = set(), [], self.old
         for w in set(words):
-            if w not in young:
-                if (known := old.get(w)) is None:
-                    missing.append(w)
-                else:
-                    young[w] = known
+            if w in young:
+                continue
+            if (known := old.get(w)) is not None:
+                young[w] = known
+            elif len(w) > 1 and w[-1] in self.MARKS and 97 <= w[-2] <= 122:
+                marked.append(w)
+                for part in (w[:-1], w[-1:]):
+                    if part not in young:
+                        if (known := old.get(part)) is not None:
+                            young[part] = known
+                        else:
+                            missing.add(part)
+            else:
+                missing.add(w)
         if missing:
-            for w, e in zip(missing, self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False), strict=True):
-                young[w] = np.array(e.ids, "<u4").tobytes()
+            self.encode(list(missing))
+        for w in marked:
+            young[w] = young[w[:-1]] + young[w[-1:]]
         return b"".join(map(young.__getitem__, words))
 
 
