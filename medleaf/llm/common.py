@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,12 +54,3 @@ def utf8(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes | None]:
         col = col.combine_chunks()
     big = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
     return col.cast(pa.large_binary() if big else pa.binary()).to_pylist()
-
-
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
-
-
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows, since a text may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -134,7 +134,7 @@ def features(text: bytes | None, lexicon: Lexicon) -> np.ndarray:
 def learn_lexicon(texts: list[bytes], toxic: np.ndarray, least: int = 4) -> Lexicon:
     """Given insults, plus words and beginnings that stand out in toxic rows.
 
-    A word stands out when it is in `least` toxic rows or more and the 95 % lower bound of its log odds is over 1. As a
+    A word stands out when it is in `least` toxic rows or more and the 95 % lower bound of its log odds is over 0.5. As a
     beginning, it must also be shared by three words at least, so that a single word is not counted as a stem.
     """
     shared: dict[bytes, str] = {}  # one string for each word, however many texts hold it
@@ -158,7 +158,7 @@ def learn_lexicon(texts: list[bytes], toxic: np.ndarray, least: int = 4) -> Lexi
                 b = c0.get(w, 0)
                 odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
                 low = odds - 1.96 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-                if low > 1 or (b == 0 and odds > 2.5):
+                if low > 0.5 or (b == 0 and odds > 2.5):
                     out[w] = odds
         return out
 
