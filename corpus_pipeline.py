@@ -1,7 +1,7 @@
 """A training corpus from the table of documents, in four stages.
 
 1. `toxicity`: documents that the classifier rejects (score of 0.5 or more) go.
-2. `ngram_jaccard_join`: of documents linked by their word 4-gram sets (85 % Jaccard), directly or by others, the one with
+2. `ngram_jaccard_join`: of documents linked by their word 5-gram sets (80 % Jaccard), directly or by others, the one with
    the smallest id stays.
 3. `source_mixing`: every document is repeated or left out, so that the sources come near their target shares.
 4. `best_fit_packing`: what is left, packed into sequences of 2048 tokens.
@@ -31,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keeps the smallest id of each group of linked documents. Of rows that repeat an id, that with the smallest text
     stays; rows without an id are no one's copy and stay; texts without words are linked with nothing and stay.
     """
-    found = stored(jaccard_join.jaccard_components(docs, width=4, percent=85), "components")
+    found = stored(jaccard_join.jaccard_components(docs, width=5, percent=80), "components")
     copies = found.filter("doc_id <> component_id").select("doc_id").distinct()
     again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     again = stored(again, "again")
