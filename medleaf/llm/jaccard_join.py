@@ -1,16 +1,19 @@
 """N-gram Jaccard self-join as a T-occurrence search.
 
-A document is its set of distinct word n-grams. Two documents of at least 85 % Jaccard similarity share at least
-T = 85 % of the larger set, so a partner occurs on at least T of a document's inverted lists. DivideSkip sets the
+A document is its set of distinct word n-grams. Two documents of at least p % Jaccard similarity share at least
+T = p % of the larger set, so a partner occurs on at least T of a document's inverted lists. DivideSkip sets the
 longest lists aside: a partner must occur on one of the n - T + 1 shortest at least, and only documents found there are
 looked up, by binary search, on the long ones.
 
 In Spark:
 
-1. n-gram frequencies are counted over all documents, in a table of fixed size, and give the order from short lists to
-   long ones. (Cells that n-grams share only blur the order; any order gives the same result.)
-2. Documents with equal sets become one class. The n - T + 1 rarest n-grams of every class are its short lists.
-3. Documents that meet on a short list at compatible sizes go to one cluster. Every link lies within a cluster.
+1. Word frequencies are counted over all documents, in a table of fixed size. The frequency of an n-gram's rarest word
+   bounds the length of its list, and gives the order from short lists to long ones; what common words form by chance
+   comes late. (Any order gives the same result; cells that words share only blur it.)
+2. Documents with equal sets become one class. The n - T + MEET rarest n-grams of every class are its short lists; two
+   that link meet on MEET of these at least (or on T, if that is less).
+3. Pairs of suitable sizes that meet so often on lists of at most FEW documents, and documents that meet on a longer
+   one, go to one cluster. Every link lies within a cluster.
 4. Clusters are searched with their whole texts: inverted lists, short ones merged, long ones probed. A cluster beyond
    BLOCK n-grams is searched as pairs of blocks. Only links that join two parts are returned, so that a group of copies
    yields one link for each document and not one for each pair.
@@ -22,8 +25,7 @@ in links and get no component; every row of the input gives one row.
 from __future__ import annotations
 
 import heapq
-import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +37,17 @@ from medleaf.llm.common import lower_words, stored, table, utf8
 from medleaf.llm.tables import components, tally
 
 BLOCK = 2_000_000
-FREQUENCY_BITS, SINGLE_BITS, CHOSEN_BITS = 23, 25, 23
+WORD_BITS, SINGLE_BITS, CHOSEN_BITS = 22, 26, 23
+MEET, FEW = 3, 16
 
 
 class _Hashes(dict):
     """64-bit hashes of words, as bytes; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 400_000:
+        if len(self) > 700_000:
             self.clear()
-        value = self[word] = struct.pack("<Q", xxhash.xxh3_64_intdigest(word))
+        value = self[word] = xxhash.xxh3_64_digest(word)
         return value
 
 
@@ -59,17 +62,35 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: bytes | None, width: int = 4) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-grams; with fewer words than `width`, of the whole sequence."""
-    words = lower_words(text)
-    if not words:
+def word_hashes(text: bytes | None) -> np.ndarray:
+    return np.frombuffer(b"".join(map(_hashes.__getitem__, lower_words(text))), "<u8")
+
+
+def ngrams(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the n-grams of hashed words, in their order; with fewer words than `width`, of the whole sequence."""
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = np.frombuffer(b"".join(map(_hashes.__getitem__, words)), "<u8")
     width = min(width, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
     for k in range(width):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - width + 1 + k])
-    return np.unique(out)
+    return out
+
+
+def shingles(text: bytes | None, width: int = 4) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-grams."""
+    return np.unique(ngrams(word_hashes(text), width))
+
+
+def rarest_first(text: bytes | None, width: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct n-grams, their order from rare to frequent); equal rarities in the order of hashes."""
+    h = word_hashes(text)
+    sets, first = np.unique(ngrams(h, width), return_index=True)
+    level_of = levels[cells(h, WORD_BITS)].astype(np.int32)
+    width = min(width, len(h))
+    each = [level_of[k : len(h) - width + 1 + k] for k in range(width)] or [level_of]
+    rarity = np.minimum.reduce(each) * 4096 + np.add.reduce(each)
+    return sets, np.argsort(rarity[first], kind="stable")
 
 
 def cells(h: np.ndarray, bits: int) -> np.ndarray:
@@ -98,12 +119,9 @@ def bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _sets(width: int) -> Callable[[pa.RecordBatch], np.ndarray]:
-    def of(batch: pa.RecordBatch) -> np.ndarray:
-        found = [cells(shingles(t, width), FREQUENCY_BITS) for t in utf8(batch, "text")]
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
-
-    return of
+def word_cells(batch: pa.RecordBatch) -> np.ndarray:
+    found = [cells(word_hashes(t), WORD_BITS) for t in utf8(batch, "text")]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def merge_short(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -186,25 +204,23 @@ def search(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text)."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequency = sc.broadcast(tally(docs.select("text"), _sets(width), FREQUENCY_BITS, level))
+    frequency = sc.broadcast(tally(docs.select("text"), word_cells, WORD_BITS, level))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = frequency.value
         for batch in batches:
             n, high, low, rare = [], [], [], []
             for text in utf8(batch, "text"):
-                s = shingles(text, width)
+                s, order = rarest_first(text, width, frequency.value)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 n.append(len(s))
                 high.append(int.from_bytes(digest[:8], "big", signed=True))
                 low.append(int.from_bytes(digest[8:], "big", signed=True))
-                short = len(s) - needed(len(s), percent) + 1 if len(s) else 0
-                # the rarest first; equal steps by hash, which s is sorted by
-                rare.append(s[np.argsort(table_[cells(s, FREQUENCY_BITS)], kind="stable")[:short]].astype(np.int64))
+                short = min(len(s), len(s) - needed(len(s), percent) + MEET)
+                rare.append(s[order[:short]].astype(np.int64))
             offsets = np.r_[0, np.cumsum([len(x) for x in rare])].astype(np.int32)
             flat = np.concatenate(rare) if rare else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -225,28 +241,30 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 def links_between(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) among classes (id, n, rare) that join all that similarity joins."""
     sc = docs.sparkSession.sparkContext
-    step = -np.log(percent / 100)
 
     def rare_cells(batch: pa.RecordBatch) -> np.ndarray:
         return cells(batch.column("rare").flatten().to_numpy(zero_copy_only=False).astype(np.uint64), SINGLE_BITS)
 
-    often = sc.broadcast(tally(classes.select("rare"), rare_cells, SINGLE_BITS, repeated))
+    often = sc.broadcast(tally(classes.select("rare"), rare_cells, SINGLE_BITS, repeated, few=True))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rare = batch.column("rare")
             x = rare.flatten().to_numpy(zero_copy_only=False)
-            counts = rare.value_lengths().to_numpy(zero_copy_only=False)
-            ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), counts)
-            n = np.repeat(batch.column("n").to_numpy(zero_copy_only=False), counts)
+            ids, n = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), rare.value_lengths().to_numpy(zero_copy_only=False)) for c in ("id", "n"))
             keep = bit(often.value, cells(x.astype(np.uint64), SINGLE_BITS))  # the others are on no list with another
-            x, ids, band = x[keep], ids[keep], np.floor(np.log(n[keep]) / step).astype(np.int32)
-            # sizes of partners are of one band or of neighbours; each band meets the one below it
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[x, x]), pa.array(np.r_[band, band + 1].astype(np.int32)), pa.array(np.r_[ids, ids])], names=["x", "band", "id"])
-
-    posts = classes.mapInArrow(post, "x long, band int, id long")
-    heads = posts.groupBy("x", "band").agg(F.min("id").alias("head"), F.max("id").alias("other")).filter("head <> other").drop("other")
-    meets = posts.join(heads, ["x", "band"]).filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(ids[keep]), pa.array(n[keep])], names=["x", "id", "n"])
+
+    posts = classes.mapInArrow(post, "x long, id long, n long")
+    heads = posts.groupBy("x").agg(F.min("id").alias("head"), F.count("*").alias("members")).filter("members > 1")
+    posts = stored(posts.join(heads, "x"), "posts")
+    long = posts.filter((F.col("members") > FEW) & (F.col("id") != F.col("head"))).select(F.col("head").alias("a"), F.col("id").alias("b"))
+    lists = posts.filter(F.col("members") <= FEW).groupBy("x").agg(F.sort_array(F.collect_list(F.struct("n", "id"))).alias("list"))
+    pairs = lists.select("list", F.posexplode("list").alias("at", "one")).select("one", F.explode(F.expr(f"slice(list, at + 2, {FEW})")).alias("other"))
+    pairs = pairs.filter(F.col("one.n") * 100 >= F.col("other.n") * percent)
+    pairs = pairs.groupBy(F.col("one.id").alias("a"), F.col("other.id").alias("b")).agg(F.count("*").alias("met"), F.max("other.n").alias("n"))
+    pairs = pairs.filter(F.col("met") >= F.least(F.lit(MEET), F.ceil(F.col("n") * percent / 100))).select("a", "b")
+    meets = long.union(pairs).distinct()
     clusters = components(meets).withColumnRenamed("label", "cluster")
     clusters = stored(clusters.join(classes.select("id", "n"), "id"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("total"))
