@@ -27,7 +27,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 MAIN = frozenset(("article", "main"))
 #: Parts of class, id and role that mark what is not the main text.
 MARKS = frozenset(
-    "ad ads adbox adslot advert advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
+    "ad ads adbox adslot alert advert advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright "
     "disclaimer disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted "
     "recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
@@ -53,8 +53,10 @@ def boilerplate(name: str, attrs: str, in_main: bool) -> bool:
             return True
         if key == "role" and value in ROLES:
             return True
-        if key in ("class", "id") and any(part in MARKS for part in re.split(r"[\s_-]+", value)):
-            return True
+        if key in ("class", "id"):
+            parts = re.split(r"[\s_-]+", value)
+            if any(part in MARKS for part in parts) or (not in_main and "header" in parts):
+                return True
     return False
 
 
