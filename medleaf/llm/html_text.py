@@ -3,7 +3,8 @@
 Markup is stripped so that every block element becomes one line. Menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts and styles are markup and leave blank lines. The text lengths of three neighbouring lines are summed
 along the page: the sum surges where the main text begins and dives to zero where it ends, and what lies between is
-kept, short lines included. Blank lines are left only outside an article, so that an advert within one does not cut it.
+kept, short lines included. The sums decide on every line of the page, within articles or not. Blank lines are left only
+outside an article, so that an advert within one does not cut it; lines of a page's only article count double.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def boilerplate(name: str, attrs: str, in_main: bool) -> bool:
     """Whether an element is not main text, by its name, class, id and role."""
     if name in DROPPED or (name == "header" and not in_main):
         return True
-    if name in MAIN or name in ("html", "body") or not attrs:
+    if name in ("html", "body") or not attrs:
         return False
     for key, *values in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), "".join(values).lower()
@@ -54,19 +55,36 @@ def boilerplate(name: str, attrs: str, in_main: bool) -> bool:
         if key == "role" and value in ROLES:
             return True
         if key in ("class", "id"):
+            if name in MAIN:  # "comment" or "teaser related-item", but not "post has-ads"
+                if any(re.split("[_-]", word)[0] in MARKS for word in value.split()):
+                    return True
+                continue
             parts = re.split(r"[\s_-]+", value)
             if any(part in MARKS for part in parts) or (not in_main and "header" in parts):
                 return True
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool]]:
-    """(text, inside article or main) of every line; outside of articles, markup that is left out gives blank lines."""
-    out: list[tuple[str, bool]] = []
+def closes(page: str, at: int, name: str, depth: int) -> bool:
+    """Whether `depth` open elements of a name are closed in the rest of the page."""
+    for found in TOKEN.finditer(page, at):
+        if (found["name"] or found["name2"] or "").lower() == name:
+            depth += -1 if found["close"] or found["close2"] else 1
+            if depth <= 0:
+                return True
+    return False
+
+
+def lines_of(page: str) -> list[tuple[str, int]]:
+    """(text, number of the outermost article or main, 0 outside) of every line; outside of articles, markup that is left
+    out gives blank lines.
+    """
+    out: list[tuple[str, int]] = []
     text: list[str] = []
     main = links = 0
     linked = plain = 0
-    skipping, depth = "", 0
+    skipping, depth, inner, whole, region = "", 0, 0, False, 0
+    closed: dict[str, bool] = {}
 
     def end_line() -> None:
         nonlocal linked, plain
@@ -74,14 +92,14 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         text.clear()
         if line:
             if not main and linked > plain:  # a line of links
-                out.extend([("", False)] * WINDOW)
+                out.extend([("", 0)] * WINDOW)
             else:
-                out.append((line, main > 0))
+                out.append((line, region if main else 0))
         linked = plain = 0
 
     def blank() -> None:
         if not main:
-            out.extend([("", False)] * WINDOW)
+            out.extend([("", 0)] * WINDOW)
 
     at, end = 0, len(page)
     lower = None
@@ -114,10 +132,18 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         if skipping:
             if name == skipping:
                 depth += -1 if close else 1
-            if depth > 0 and not (name in MAIN and (close or main == 0)):
-                continue
+            if depth > 0:
+                if name not in MAIN or skipping in MAIN:
+                    continue
+                if close and inner:
+                    inner -= 1
+                    continue
+                # an article in a menu, sidebar or footer that is closed behind it belongs to that
+                if not close and (main or whole or (skipping in DROPPED and closes(page, at, skipping, depth))):
+                    inner, whole = inner + 1, True
+                    continue
             skipping = ""
-            if depth <= 0 and not name in MAIN:
+            if depth <= 0:
                 continue
         if close:
             if name in BLOCKS:
@@ -129,15 +155,19 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
                 blank()
             continue
         if name not in VOID and boilerplate(name, attrs, main > 0):
-            end_line()
-            blank()
-            skipping, depth = name, 1
-            continue
+            if name in MAIN and closed.get(name, True):
+                closed[name] = closes(page, at, name, 1)
+            if name not in MAIN or closed[name]:
+                end_line()
+                blank()
+                skipping, depth, inner, whole = name, 1, 0, False
+                continue
         if name in BLOCKS:
             end_line()
             links = 0
         if name in MAIN:
             blank()
+            region += main == 0
             main += 1
         elif name == "a":
             links += 1
@@ -150,13 +180,12 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
 def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by blank lines; empty if there is none.
 
-    If the page has an article with text, lines outside count as blank. A page whose sums never reach SURGE is cut at
-    its highest sum instead.
+    Lines of the only article or main count double: several are as often teasers or comments. A page whose sums never
+    reach SURGE is cut at its highest sum instead.
     """
     lines = lines_of(page or "")
-    if any(inside for _, inside in lines):
-        lines = [(t, True) if inside else ("", False) for t, inside in lines]
-    lengths = [len(t) for t, _ in lines]
+    double = len({region for _, region in lines if region}) == 1
+    lengths = [len(t) * (2 if double and region else 1) for t, region in lines]
     sums = [sum(lengths[k : k + WINDOW]) for k in range(len(lengths))]
     surge = min(SURGE, max(sums, default=0))
     kept: list[str] = []

@@ -243,6 +243,21 @@ def test_main_text(page, text):
     assert H.main_text(page) == text
 
 
+LONG = ("word " * 40).strip()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<article>Teaser one</article><article>Teaser two</article><div class='content'><p>{LONG}</p><p>short</p></div><article>Teaser</article>", f"{LONG}\n\nshort"),
+    (f"<div><p>{LONG}</p></div><article class='comment odd'><p>{LONG} no</p></article><article id=comment-2><p>{LONG} no</p></article>", LONG),
+    (f"<aside><article><p>{LONG} no</p></article> no</aside><div><p>{LONG}</p></div><footer><main>{LONG} no</main></footer>", LONG),
+    (f"<article><p>One</p><aside><article>{LONG} no</article></aside><p>Two</p></article>", "One\n\nTwo"),
+    (f"<nav>menu<article><p>{LONG}</p></article>", LONG), (f"<div class='has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<article class='related'><p>{LONG}", LONG), ("<article>" + "a" * 50 + "</article><div>" + "b" * 90 + "</div>", "a" * 50 + "\n\n" + "b" * 90),
+])
+def test_lengths_choose_the_text_beside_articles(page, text):
+    assert H.main_text(page) == text
+
+
 def test_pages_keep_their_articles(spark):
     """Every block of the article and nothing else, on all given pages."""
     import html
