@@ -7,13 +7,15 @@ that every token is held out once. The context of a text's first word is the end
 
 Counts are exact and cover all training texts:
 
-1. Word counts are a distributed aggregate. The most frequent words (DICTIONARY of them at most) are sent to all tasks;
-   the others are contexts of bucket 0, which mixes the last two estimates only.
+1. Word counts are a distributed aggregate. The most frequent words (DICTIONARY of them at most) are sent to all tasks.
+   Bucket 0, which mixes the last two estimates only, is for contexts that no training text holds.
 2. Pairs of two words of a small hot set are counted with the words, in a dense matrix, since they occur everywhere.
    The hot set comes from a few texts; which words it holds changes no result.
 3. Other pairs are sent, sorted and packed, to partitions by their hash (by the second word's hash if it is not in the
    dictionary). There they are counted, and each document's share of the score is summed per partition.
 4. What needs no counts of rare pairs is scored where the text lies; the parts of a document are added up.
+5. If training words are left outside the dictionary, pairs behind them are scored as behind an unseen context first. Their
+   counts are then taken by joins on the hashes of both words, and what they add to a document's score is added.
 
 Rows alike in id and text are scored as one and returned as often as they stand there. A null id is in the training part or
 not by crc32 of the empty text; null texts are empty.
@@ -138,7 +140,7 @@ def value(at: np.ndarray) -> np.ndarray:
 
 
 def bucket(context_count: np.ndarray) -> np.ndarray:
-    """0 for contexts outside the dictionary, else 1 + the binary logarithm of the count."""
+    """0 for contexts without training tokens, else 1 + the binary logarithm of the count."""
     return np.where(context_count > 0, 1 + np.floor(np.log2(np.maximum(context_count, 1))), 0).astype(np.int64)
 
 
@@ -353,6 +355,43 @@ def read_counts(batch: pa.RecordBatch, names: tuple[str, ...] = ("c2", "ch", "c1
         yield [unplanes(r, WIDTHS[c]).astype(np.int64) if r else np.zeros(0, np.int64) for c, r in zip(names, raw, strict=True)]
 
 
+def rare_contexts(docs: DataFrame, known: Broadcast, end: int) -> DataFrame:
+    """(uid, train, x, w, c1, m): pairs of words w behind words x outside the dictionary, with how often a row holds them;
+    c1 is null if w is outside, too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = words_of(known), known.value[2]
+        for batch in batches:
+            for rows, texts in in_pieces(batch):
+                h, r, before, doc = words.tokens(texts, end)
+                at = np.flatnonzero(before == NONE)  # never a text's first token: before that stands the end token
+                if not len(at):
+                    continue
+                x, w, r, doc = h[at - 1], h[at], r[at], doc[at]
+                by = np.lexsort((w, x, doc))
+                x, w, r, doc = x[by], w[by], r[by], doc[by]
+                first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])])
+                m, outside = np.diff(np.r_[first, len(x)]), r[first] == NONE
+                c1 = pa.array(counts[np.where(outside, 0, r[first]).astype(np.int64)], pa.int64(), mask=outside)
+                row = pa.array(doc[first] + rows[0])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("uid").take(row), batch.column("train").take(row), pa.array(x[first].view(np.int64)), pa.array(w[first].view(np.int64)), c1, pa.array(m.astype(np.int64))],
+                    names=["uid", "train", "x", "w", "c1", "m"],
+                )
+
+    return docs.select("uid", "train", "text").mapInArrow(run, "uid long, train boolean, x long, w long, c1 long, m long")
+
+
+def rare_pairs(rows: DataFrame, single: DataFrame) -> DataFrame:
+    """(x, w, c2, ch, c1) of the pairs of rare_contexts whose context stands in the training texts."""
+    pairs = rows.groupBy("x", "w").agg(F.sum(F.when(F.col("train"), F.col("m")).otherwise(0)).alias("c2"), F.max("c1").alias("c1"))
+    pairs = pairs.join(single.select(F.col("key").alias("x"), F.col("n").alias("ch")), "x")
+    names = ["x", "w", "c2", "ch", "c1"]
+    outside = pairs.filter("c1 is null").drop("c1").join(single.select(F.col("key").alias("w"), F.col("n").alias("c1")), "w", "left").fillna(0, ["c1"])
+    return pairs.filter("c1 is not null").select(names).union(outside.select(names))
+
+
 def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
     """Scores of every row of docs (doc_id, text); the columns of op4."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
@@ -406,7 +445,21 @@ def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
     pair = np.flatnonzero(dense)
     cells = [np.array([c for c, _ in found], np.int64), deleted(dense[pair], by_rank[pair // HOT], by_rank[pair % HOT], total)]
     weights = [np.array([w for _, w in found], np.int64), dense[pair]]
-    # contexts outside the dictionary: all tokens, by their own counts
+    rows = pairs = None
+    if np.count_nonzero(by_rank) < vocabulary:  # training words outside the dictionary
+        rows = stored(rare_contexts(docs, known, end), "rare-rows")
+        pairs = stored(rare_pairs(rows, single), "rare-pairs")
+
+        def more_deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                c2, ch, c1 = (batch.column(c).to_numpy() for c in ("c2", "ch", "c1"))
+                some, at = np.unique(deleted(c2, ch, c1, total), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.bincount(at, c2.astype(float), len(some)).astype(np.int64))], names=["cell", "n"])
+
+        more = pairs.filter("c2 > 0").select("c2", "ch", "c1").mapInArrow(more_deletions, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect()
+        cells.append(np.array([c for c, _ in more], np.int64))
+        weights.append(np.array([w for _, w in more], np.int64))
+    # contexts that are not in the training texts: all tokens, by their own counts
     for c, words in single.groupBy("n").agg(F.count("*")).collect() if total else []:
         cells.append(deleted(np.zeros(1), np.zeros(1), np.array([c]), total))
         weights.append(np.array([c * words]))
@@ -479,6 +532,19 @@ def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
     far = merged.select("p", "blocks", "sizes", "uids", "c2", "ch", "c1", "runs", "known_keys", "docs", "m").mapInArrow(rest, "block long, uids binary, sums binary")
     far = far.repartition("block").sortWithinPartitions("block").mapInArrow(by_document, "uid long, n_known long, base_score double, score double")
     far = far.select("uid", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("train"), F.lit(0).cast("long").alias("n_tokens"), "n_known", "base_score", "score", F.lit(0).alias("rows"))
+    if rows is not None:
+
+        def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """What the pairs add to a row's score beyond that behind an unseen context."""
+            for batch in batches:
+                c2, ch, c1, m = (batch.column(c).to_numpy() for c in ("c2", "ch", "c1", "m"))
+                none = np.zeros(len(m))
+                more = m * (np.log10(probability(c2, ch, c1, total, vocabulary, lam)) - np.log10(probability(none, none, c1, total, vocabulary, lam)))
+                yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(more)], names=["uid", "score"])
+
+        gains = rows.select("uid", "x", "w", "m").join(pairs, ["x", "w"]).select("uid", "m", "c2", "ch", "c1").mapInArrow(gain, "uid long, score double").groupBy("uid").agg(F.sum("score").alias("score"))
+        zero = F.lit(0).cast("long")
+        far = far.unionByName(gains.select("uid", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("train"), zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base_score"), "score", F.lit(0).alias("rows")))
     sums = local.unionByName(far).groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("train").alias("train"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score", "rows")])
     each = sums.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return each.select(

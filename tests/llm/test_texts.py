@@ -108,6 +108,18 @@ def test_language_model_against_counting(spark, docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 1.2
 
 
+def test_rare_contexts_keep_their_bigrams(spark):
+    """Scores do not depend on how many words are sent to all tasks."""
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(w for x in rng.integers(0, 900, rng.integers(0, 60)) for w in (f"a{x}", f"b{x}" if x % 3 else "the"))) for k in range(150)]
+    rows += [(None, "a1 b1 a2 b2"), (7, "a1 b1"), (7, "a1 b1"), (8, None), (9, "unseen a4 b4 unseen b5")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, less = ([tuple(r) for r in LM.lm_scores(df, dictionary).collect()] for dictionary in (LM.DICTIONARY, LM.HOT + 30))
+    whole, less = sorted(whole, key=repr), sorted(less, key=repr)
+    assert len(whole) == len(rows) and [r[:5] for r in whole] == [r[:5] for r in less]
+    assert [r[5:] for r in less] == [pytest.approx(r[5:]) for r in whole]
+
+
 def test_probabilities_sum_to_one():
     lam = LM.learn(np.array([(b * LM.LEVELS + a) * LM.LEVELS + c for b in (0, 3, 4) for a in ((0,) if b == 0 else (0, 5, 9)) for c in (0, 12, 20)]), np.arange(1, 22), 9)
     assert np.allclose(lam.sum(axis=1), 1) and (lam[:, 2] > 0).all() and lam[0, 0] == 0
