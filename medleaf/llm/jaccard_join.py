@@ -15,17 +15,19 @@ In Spark:
 3. Pairs of suitable sizes that meet so often on lists of at most FEW documents, and documents that meet on a longer
    one, go to one cluster. Every link lies within a cluster.
 4. Clusters are searched with their whole texts: inverted lists, short ones merged, long ones probed. A cluster beyond
-   BLOCK n-grams is searched as pairs of blocks. Only links that join two parts are returned, so that a group of copies
-   yields one link for each document and not one for each pair.
+   BLOCK n-grams is searched as pairs of blocks. Every link found is counted once for both of its documents, with the
+   copies of the other one; similar_pairs returns each. Components are formed from those that join two parts, so that a
+   group of copies sends one link for each document and not one for each pair.
 
 Nulls and repeated rows: null and empty texts are empty sets and linked with nothing; rows with a null id take no part
-in links and get no component; every row of the input gives one row.
+in links, get no component and have 0 links; every row of the input gives one row. Rows that repeat an id and an n-gram
+set count as one document. Where an id repeats with different sets, their links are counted together.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,8 +159,8 @@ def divide_skip(lists: list[np.ndarray], threshold: int) -> tuple[np.ndarray, np
     return found[keep], seen[keep]
 
 
-def search(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that join two parts, as pairs of positions, among sets.
+def search(sets: list[np.ndarray], percent: int, counted: Callable[[int, int], None] | None = None) -> list[tuple[int, int]]:
+    """Links that join two parts, as pairs of positions, among sets; `counted` is called with every link once.
 
     Sets are taken by rising size, so that a query's partners are on the lists already and are no larger than it is.
     """
@@ -197,6 +199,8 @@ def search(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         found, seen = divide_skip(lists, least)
         for j, both in zip(order[found], seen, strict=True):
             if (100 + percent) * both >= percent * (sizes[i] + sizes[j]):
+                if counted is not None:
+                    counted(int(i), int(j))
                 a, b = root(int(i)), root(int(j))
                 if a != b:
                     parent[a] = b
@@ -204,10 +208,9 @@ def search(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text)."""
-    spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def signed_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(signatures of all rows, classes of documents with equal sets) of docs (doc_id, text)."""
+    sc = docs.sparkSession.sparkContext
     frequency = sc.broadcast(tally(docs.select("text"), word_cells, WORD_BITS, level))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,17 +232,41 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
             )
 
     signed = stored(docs.mapInArrow(sign, "doc_id long, n long, h1 long, h2 long, rare array<long>"), "signed")
-    classes = signed.filter("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("rare").alias("rare"))
-    classes = stored(classes, "classes")
-    links = links_between(docs, classes.select("id", "n", "rare"), width, percent)
-    found = components(links)
-    named = classes.select("h1", "h2", "id").join(found, "id", "left").select("h1", "h2", F.coalesce("label", "id").alias("component"))
+    real = signed.filter("n > 0 and doc_id is not null")
+    sizes = real.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.count("*").alias("copies"))
+    classes = real.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("rare").alias("rare"))
+    return signed, stored(classes.join(sizes, ["h1", "h2"]), "classes")
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row of docs (doc_id, text); n_links counts the other documents
+    that it is similar to, equal sets included.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed, classes = signed_classes(docs, width, percent)
+    links = stored(links_between(docs, classes.select("id", "n", "rare", "copies"), width, percent), "links")
+    found = components(links.filter("b is not null"))
+    degrees = links.filter("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
+    named = classes.select("h1", "h2", "id", "copies").join(found, "id", "left").join(degrees, "id", "left")
+    named = named.select("h1", "h2", F.coalesce("label", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = signed.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    known = F.col("doc_id").isNotNull()
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(known, F.coalesce("component", "doc_id")).alias("component_id"), F.when(known, F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links"))
 
 
-def links_between(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) among classes (id, n, rare) that join all that similarity joins."""
+def similar_pairs(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(a, b): every similar pair of docs (doc_id, text) with different sets, once, in no order; of documents with equal
+    sets, that with the smallest id stands for all.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    _, classes = signed_classes(docs, width, percent)
+    return links_between(docs, classes.select("id", "n", "rare", "copies"), width, percent, every=True).select("a", "b")
+
+
+def links_between(docs: DataFrame, classes: DataFrame, width: int, percent: int, every: bool = False) -> DataFrame:
+    """Rows (a, b, n) among classes (id, n, rare, copies): links (a, b) that join all that similarity joins, and a part of
+    the number n of documents that those of class a are linked with, with a null b. With every, all links, and those only.
+    """
     sc = docs.sparkSession.sparkContext
 
     def rare_cells(batch: pa.RecordBatch) -> np.ndarray:
@@ -266,14 +293,16 @@ def links_between(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     pairs = pairs.filter(F.col("met") >= F.least(F.lit(MEET), F.ceil(F.col("n") * percent / 100))).select("a", "b")
     meets = long.union(pairs).distinct()
     clusters = components(meets).withColumnRenamed("label", "cluster")
-    clusters = stored(clusters.join(classes.select("id", "n"), "id"), "clusters")
+    clusters = stored(clusters.join(classes.select("id", "n", "copies"), "id"), "clusters")
     sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("total"))
     blocks = F.when(F.col("total") <= BLOCK, F.lit(1)).otherwise(F.ceil(F.col("total") * 2 / BLOCK)).cast("int")
     placed = clusters.join(sizes.withColumn("blocks", blocks).drop("total"), "cluster")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     # each block meets every other once, and is searched itself in every pair
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("blocks = 1 or with <> own")
-    placed = placed.select("id", "cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own")
+    # the links within a block count in one of its pairs, that with the next block
+    within = (F.col("with") == F.pmod(F.col("own") + 1, "blocks")) | (F.col("blocks") == 1)
+    placed = placed.select("id", "cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "copies", within.alias("within"))
 
     def chosen_cells(batch: pa.RecordBatch) -> np.ndarray:
         return cells(mix(batch.column("id").to_numpy(zero_copy_only=False).astype(np.uint64)), CHOSEN_BITS)
@@ -291,29 +320,41 @@ def links_between(docs: DataFrame, classes: DataFrame, width: int, percent: int)
     texts = docs.mapInArrow(choose, "doc_id long, text string").withColumnRenamed("doc_id", "id")
     parts = placed.join(texts, "id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
 
-    def solve(group: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
-        sets = [shingles(t, width) for _, _, t in group]
-        return [(group[i][0], group[j][0]) for i, j in search(sets, percent)]
+    def solve(group: list[tuple[int, int, int, bool, bytes]]) -> list[tuple[int, int | None, int]]:
+        sets, degrees, pairs = [shingles(g[-1], width) for g in group], [0] * len(group), []
+
+        def counted(i: int, j: int) -> None:
+            if group[i][1] != group[j][1] or group[i][3]:
+                if every:
+                    pairs.append((group[i][0], group[j][0], 0))
+                degrees[i] += group[j][2]
+                degrees[j] += group[i][2]
+
+        joining = search(sets, percent, counted)
+        if every:
+            return pairs
+        return [(group[i][0], group[j][0], 0) for i, j in joining] + [(g[0], None, d) for g, d in zip(group, degrees, strict=True) if d]
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
         for batch in batches:
             keys = zip(batch.column("cluster").to_pylist(), batch.column("i").to_pylist(), batch.column("j").to_pylist(), strict=True)
             out = []
-            for k, one, own, text in zip(keys, batch.column("id").to_pylist(), batch.column("own").to_pylist(), utf8(batch, "text"), strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("id", "own", "copies", "within")]
+            for k, *one in zip(keys, *columns, utf8(batch, "text"), strict=True):
                 if k != key:
                     out += solve(group)
                     key, group = k, []
-                group.append((one, own, text))
+                group.append(one)
             yield rows(out)
         yield rows(solve(group))
 
-    def rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+    def rows(links: list[tuple[int, int | None, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(3)], names=["a", "b", "n"])
 
-    return parts.mapInArrow(link, "a long, b long")
+    return parts.mapInArrow(link, "a long, b long, n long")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of documents whose 4-word n-gram sets are at least 85 % alike."""
+    """Components of documents whose 4-word n-gram sets are at least 85 % alike, and the number of links of each."""
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)

@@ -68,6 +68,23 @@ def test_components_as_by_all_pairs(spark, monkeypatch, block, width, percent):
     assert got == brute(texts, width, percent)
 
 
+@pytest.mark.parametrize("block", [J.BLOCK, 600])
+def test_every_link_counts_once(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    texts = near_copies()
+    sets = {i: frozenset(zip(*(w[k:] for k in range(4)), strict=False)) or frozenset([tuple(w)] * bool(w)) for i, t in texts.items() for w in [t.lower().split()]}
+    links = {(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    want = Counter(i for pair in links for i in pair)
+    df = spark.createDataFrame([*texts.items(), (None, texts[0]), (0, texts[0])], "doc_id long, text string")
+    got = J.jaccard_components(df, 4, 85).collect()
+    assert len(got) == len(texts) + 2 and {r.doc_id: r.n_links for r in got} == {None: 0} | {i: want[i] for i in texts}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    pairs = [tuple(sorted((r.a, r.b))) for r in J.similar_pairs(df, 4, 85).collect()]
+    assert sorted(pairs) == sorted({(i, j) for i, j in links if first[sets[i]] == i and first[sets[j]] == j and sets[i] != sets[j]})
+
+
 def test_rows_without_or_with_the_same_id(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (5, "a b c d e"), (5, "a b c d e"), (3, "a b c d e"), (9, "z")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df, 4, 85).collect()), key=repr)
