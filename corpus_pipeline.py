@@ -28,16 +28,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of linked documents. Of rows that repeat an id, that with the smallest text
-    stays; rows without an id are no one's copy and stay; texts without words are linked with nothing and stay.
+    """Keeps one row of each group of linked rows, that with the smallest id (and of these, one by the hash of id and text).
+    Rows are linked by their texts, so that rows which repeat an id with different texts are told apart. Of rows alike in id
+    and text one stays; rows without an id are no one's copy and stay; rows without words are linked with nothing and stay.
     """
-    found = stored(jaccard_join.jaccard_components(docs, width=5, percent=80), "components")
-    copies = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = stored(again, "again")
-    once = docs.join(copies.union(again), "doc_id", "left_anti")
-    first = W.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    rest = docs.join(again, "doc_id", "left_semi").join(copies, "doc_id", "left_anti").withColumn("__n", F.row_number().over(first)).filter("__n = 1")
+    key = F.when(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn("__key", key)
+    found = stored(jaccard_join.jaccard_components(keyed.select(F.col("__key").alias("doc_id"), "text"), width=5, percent=80), "components")
+    copies = found.filter("doc_id <> component_id").select("doc_id", "component_id")
+    linked = copies.union(copies.select("component_id", "component_id").distinct()).toDF("__key", "component")
+    linked = stored(linked.join(keyed.select("__key", "doc_id"), "__key").distinct(), "linked")
+    best = linked.groupBy("component").agg(F.min(F.struct("doc_id", "__key")).alias("best")).select(F.col("best.__key").alias("__key"))
+    copies = stored(linked.select("__key").join(best, "__key", "left_anti"), "copies")
+    again = stored(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__key")).count().filter("count > 1").select("__key"), "again")
+    once = keyed.join(copies.union(again), "__key", "left_anti")
+    first = W.partitionBy("__key").orderBy(*[F.col(c).asc_nulls_last() for c in docs.columns])
+    rest = keyed.join(again, "__key", "left_semi").join(copies, "__key", "left_anti").withColumn("__n", F.row_number().over(first)).filter("__n = 1")
     return once.select(*docs.columns).unionByName(rest.select(*docs.columns))
 
 

@@ -318,6 +318,16 @@ def test_pipeline_stages(spark):
     assert all(stage(spark, empty, folder).count() == 0 for _, stage in P.STAGES)
 
 
+def test_near_copies_by_row_and_not_by_id(spark):
+    import corpus_pipeline as P
+
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(5, a), (5, b), (5, "clean words of no other text"), (3, a + " more"), (9, b), (9, "x y z"), (9, "x y z"), (7, ""), (7, ""), (None, a), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in P.drop_near_copies(spark, df, "").collect())
+    assert got == Counter([(3, a + " more"), (5, b), (5, "clean words of no other text"), (9, "x y z"), (7, ""), (7, ""), (None, a), (2, None)])
+
+
 def test_pipeline_as_a_whole(spark):
     import corpus_pipeline as P
 
