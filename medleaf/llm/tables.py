@@ -55,21 +55,28 @@ def tally(df: DataFrame, cells: Callable[[pa.RecordBatch], np.ndarray], bits: in
     return out.reshape(-1)
 
 
+SALTS = 16
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, label) of every node of edges (a, b): label is the smallest id that can be reached.
 
     Labels spread to neighbours and to the nodes that neighbours are labelled with, then labels of labels are taken, until
-    nothing changes. Every round is a pair of joins on unique keys and minimum aggregates, so a hub with many
-    edges is combined before it is shuffled. Rounds are written to the shared folder.
+    nothing changes. A round's joins look labels up on unique ids and its aggregates are minima, so a hub with many edges
+    is combined before it is shuffled; the nodes of one label are dealt over SALTS parts where they look that label up.
+    Rounds are written to the shared folder. An empty table gives an empty table.
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
+    salts = F.explode(F.array(*[F.lit(k) for k in range(SALTS)]))
     while True:
-        seen = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        # a hub is looked up by all its neighbours: its row is there once for each salt
+        wide = labels.select(F.col("id").alias("b"), "label", salts.alias("salt"))
+        seen = both.withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS))).join(wide, ["b", "salt"]).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         seen = labels.join(seen, "id").withColumn("near", F.least("near", "label"))
-        low = seen.select("id", "near").union(seen.select("label", "near")).groupBy("id").agg(F.min("near").alias("low"))
-        hop = low.select(F.col("id").alias("low"), F.col("low").alias("lower"))
-        new = low.join(hop, "low", "left").select("id", F.coalesce("lower", "low").alias("new"))
+        low = stored(seen.select("id", "near").union(seen.select("label", "near")).groupBy("id").agg(F.min("near").alias("low")), "low")
+        hop = low.join(low.select(F.col("low").alias("id")).distinct(), "id").select(F.col("id").alias("low"), F.col("low").alias("lower"), salts.alias("salt"))
+        new = low.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(hop, ["low", "salt"], "left").select("id", F.coalesce("lower", "low").alias("new"))
         new = stored(new.join(labels, "id"), "labels")
         if new.filter("new <> label").isEmpty():
             return labels

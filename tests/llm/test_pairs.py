@@ -59,9 +59,10 @@ def near_copies(n=300, seed=7):
     return out
 
 
-@pytest.mark.parametrize(("block", "width", "percent"), [(J.BLOCK, 4, 85), (600, 4, 85), (J.BLOCK, 5, 80)])
-def test_components_as_by_all_pairs(spark, monkeypatch, block, width, percent):
+@pytest.mark.parametrize(("block", "flush", "width", "percent"), [(J.BLOCK, J.FLUSH, 4, 85), (600, 700, 4, 85), (J.BLOCK, 300, 5, 80)])
+def test_components_as_by_all_pairs(spark, monkeypatch, block, flush, width, percent):
     monkeypatch.setattr(J, "BLOCK", block)  # small blocks: clusters are searched as pairs of blocks
+    monkeypatch.setattr(J, "FLUSH", flush)  # tasks send their documents in several parts
     texts = near_copies() | {1: None, 4: "", 7: " \n ", 10: "one", 13: "one", 16: "ONE two", 19: "x " * 30_000, 22: "x x x x"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("label", F.lit(1)).withColumn("n", F.lit(2))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(df, width, percent).collect()}
@@ -92,10 +93,11 @@ def test_rows_without_or_with_the_same_id(spark):
     assert J.jaccard_components(df.limit(0), 4, 85).count() == 0
 
 
-def test_planted_copies_of_the_given_documents(spark):
-    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("doc_id", "text")
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
+def test_planted_copies_of_the_given_documents(spark, width, percent):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("doc_id", "text")
     texts = {r.doc_id: r.text for r in docs.collect()}
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs, 4, 85).collect()} == brute(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs, width, percent).collect()} == brute(texts, width, percent)
 
 
 def test_divide_skip_against_counting():
