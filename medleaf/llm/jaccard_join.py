@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from medleaf.llm.common import lower_words, stored, table, utf8
 from medleaf.llm.tables import components, tally
 
-BLOCK, FLUSH, POSTS = 2_000_000, 1_000_000, 1_500_000
-WORD_BITS, GRAM_BITS, CHOSEN_BITS = 22, 24, 26
+BLOCK, FLUSH, POSTS = 2_000_000, 500_000, 700_000
+WORD_BITS, GRAM_BITS, CHOSEN_BITS = 22, 23, 26
 MEET, FEW = 3, 16
 MU = 0.2  # cost of a binary search on a long list against that of merging an entry
 
@@ -55,7 +55,7 @@ class _Hashes(dict):
     """64-bit hashes of words, as bytes; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 700_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_digest(word)
         return value

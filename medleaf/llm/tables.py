@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medleaf.llm.common import stored
@@ -55,7 +55,7 @@ def tally(df: DataFrame, cells: Callable[[pa.RecordBatch], np.ndarray], bits: in
     return out.reshape(-1)
 
 
-SALTS = 16
+SALTS, HUB = 16, 256
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,21 +63,34 @@ def components(edges: DataFrame) -> DataFrame:
 
     Labels spread to neighbours and to the nodes that neighbours are labelled with, then labels of labels are taken, until
     nothing changes. A round's joins look labels up on unique ids and its aggregates are minima, so a hub with many edges
-    is combined before it is shuffled; the nodes of one label are dealt over SALTS parts where they look that label up.
+    is combined before it is shuffled. What more than HUB rows look up is there SALTS times, and they are dealt over it.
     Rounds are written to the shared folder. An empty table gives an empty table.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
+    both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
+    both = stored(both, "edges")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
-    salts = F.explode(F.array(*[F.lit(k) for k in range(SALTS)]))
+    hubs = stored(both.groupBy("b").count().filter(F.col("count") > HUB).select("b", F.lit(True).alias("hub")), "hubs")
+    both = both.join(hubs, "b", "left").select("a", "b", _salt("hub", "a"))
     while True:
-        # a hub is looked up by all its neighbours: its row is there once for each salt
-        wide = labels.select(F.col("id").alias("b"), "label", salts.alias("salt"))
-        seen = both.withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS))).join(wide, ["b", "salt"]).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        seen = both.join(_salted(labels.withColumnRenamed("id", "b"), hubs, "b"), ["b", "salt"]).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         seen = labels.join(seen, "id").withColumn("near", F.least("near", "label"))
         low = stored(seen.select("id", "near").union(seen.select("label", "near")).groupBy("id").agg(F.min("near").alias("low")), "low")
-        hop = low.join(low.select(F.col("low").alias("id")).distinct(), "id").select(F.col("id").alias("low"), F.col("low").alias("lower"), salts.alias("salt"))
-        new = low.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(hop, ["low", "salt"], "left").select("id", F.coalesce("lower", "low").alias("new"))
+        used = stored(low.groupBy("low").agg((F.count("*") > HUB).alias("hub")), "used")
+        crowded = used.filter("hub")
+        hop = low.select(F.col("id").alias("low"), F.col("low").alias("lower")).join(used.select("low"), "low")
+        new = low.join(crowded, "low", "left").withColumn("salt", _salt("hub", "id"))
+        new = new.join(_salted(hop, crowded, "low"), ["low", "salt"], "left").select("id", F.coalesce("lower", "low").alias("new"))
         new = stored(new.join(labels, "id"), "labels")
         if new.filter("new <> label").isEmpty():
             return labels
         labels = new.select("id", F.col("new").alias("label"))
+
+
+def _salt(hub: str, by: str) -> Column:
+    return F.when(F.col(hub), F.pmod(F.hash(by), F.lit(SALTS))).otherwise(F.lit(0)).alias("salt")
+
+
+def _salted(rows: DataFrame, hubs: DataFrame, key: str) -> DataFrame:
+    """rows with salt 0, and those of hubs with the other salts too."""
+    more = rows.join(hubs.select(key), key, "left_semi").select(*rows.columns, F.explode(F.array(*[F.lit(k) for k in range(1, SALTS)])).alias("salt"))
+    return rows.withColumn("salt", F.lit(0)).union(more)
