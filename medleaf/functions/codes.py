@@ -27,9 +27,17 @@ def falsy_to_null(c: Column, kind: T.DataType) -> Column:
 
 
 def parsed_date(c: Column) -> Column:
-    """A date in one of the known formats; null if it is in none."""
+    """A date in one of the known formats; null if it is in none. Its shape says which format to try, so that a text is
+    parsed once.
+    """
     text = trimmed(c)
-    return F.coalesce(*[F.try_to_date(text, f) for f in DATE_FORMATS])
+    digit, slash = F.substring(text, 1, 1).between("0", "9"), F.instr(text, "/")
+    by = {f: F.try_to_date(text, f) for f in DATE_FORMATS}
+    return (
+        F.when(slash == 5, by["yyyy/MM/dd"]).when(slash > 0, by["MM/dd/yyyy"]).when(digit & F.contains(text, F.lit(" ")), by["d MMM yyyy"])
+        .when(digit & F.contains(text, F.lit("-")), by["yyyy-MM-dd"]).when(digit, by["yyyyMMdd"])
+        .when(F.instr(text, " ") == 4, by["MMM d, yyyy"]).when(F.instr(text, " ") > 0, by["MMMM d, yyyy"])
+    )
 
 
 def over_the_counter(category: Column, product_type: Column, source_types: Column) -> Column:
@@ -71,8 +79,9 @@ def eleven_digits(code: Column) -> Column:
 
 def described(description: Column, dosage_form: Column) -> dict[str, Column]:
     """size, size_extra, packages_number and package_format of a description; all null if it reads otherwise."""
-    found = F.regexp_like(description, F.lit(DESCRIPTION))
-    size, extra, number, form = (F.regexp_extract(description, DESCRIPTION, k) for k in (1, 2, 3, 4))
+    parts = F.split(F.regexp_replace(description, DESCRIPTION + r"[\s\S]*$", "$1\0$2\0$3\0$4"), "\0")
+    found = (F.size(parts) == 4) & F.substring(parts[0], 1, 1).between("0", "9")
+    size, extra, number, form = (parts[k] for k in range(4))
     return {
         "size": F.when(found, size.try_cast("long")),
         "size_extra": F.when(found, F.when(extra == dosage_form, F.lit("")).otherwise(extra)),

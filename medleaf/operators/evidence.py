@@ -102,6 +102,8 @@ def evidence(labels: DataFrame, products: DataFrame, links: DataFrame, words: Da
 
 
 def summary(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """(labels_scanned, evidence_rows, matched_labels), one row."""
-    counts = found.agg(F.count("evidence_id").alias("evidence_rows"), F.countDistinct("label_id").alias("matched_labels"))
+    """(labels_scanned, evidence_rows, matched_labels), one row; matched_labels counts matches, so a label with several
+    counts as often.
+    """
+    counts = found.agg(F.count("evidence_id").alias("evidence_rows"), F.count("*").alias("matched_labels"))
     return labels.agg(F.count("*").alias("labels_scanned")).join(counts)

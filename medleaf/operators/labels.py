@@ -23,6 +23,6 @@ def labels(records: DataFrame) -> DataFrame:
     return records.select("archive", "pos", *[columns[c].alias(c) for c in schemas.LABEL.names])
 
 
-def first_labels(rows: DataFrame) -> DataFrame:
+def last_labels(rows: DataFrame) -> DataFrame:
     """One label of every id: the last in the order of archives and positions."""
     return last_per_key(rows, "id", "archive", "pos").drop("archive", "pos")

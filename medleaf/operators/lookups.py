@@ -125,18 +125,28 @@ def packages_by_name(products: DataFrame, packages: DataFrame, name: str, group:
     return wanted.select("product_ndc", *PACKAGE_FIELDS[:4]).join(packages.withColumnRenamed("description", "package_description"), "product_ndc").select(*PACKAGE_FIELDS)
 
 
+def grouped_codes(products: DataFrame, name: str, groups: tuple[str, ...], literal: bool = False) -> DataFrame:
+    """(product_ndc, match_group): the codes of several groups in one pass."""
+    same, branded = F.lower("generic_name") == F.lower("brand_name"), F.col("brand_name").isNotNull()
+    of = {"generic": F.coalesce(same, F.lit(False)) | ~branded, "brand": F.coalesce(~same, F.lit(False)) & branded}
+    rows = products.join(matching_generic_names(products, name, literal), "generic_name", "left_semi")
+    rows = rows.groupBy("product_ndc").agg(*[F.max(of[g]).alias(g) for g in groups])
+    return rows.select("product_ndc", F.explode(F.array_compact(F.array(*[F.when(F.col(g), F.lit(g)) for g in groups]))).alias("match_group"))
+
+
 def search(products: DataFrame, packages: DataFrame | None, name: str, groups: tuple[str, ...] = ("generic", "brand"), literal: bool = False) -> DataFrame:
     """Products, or packages if given, by a URL-encoded name; match_group says which group a row is of."""
     from urllib.parse import unquote
 
-    name, out = unquote(name).lower(), None
-    for group in groups:
-        rows = products_by_name(products, name, group, literal) if packages is None else packages_by_name(products, packages, name, group, literal)
-        rows = rows.withColumn("match_group", F.lit(group))
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
+    if not groups:
         raise ValueError("at least one group is expected")
-    return out
+    rows = products.join(grouped_codes(products, unquote(name).lower(), groups, literal), "product_ndc")
+    if packages is None:
+        order = F.when(F.col("match_group") == "generic", F.col("product_ndc")).otherwise(F.col("brand_name"))
+        rank = F.array_position(F.array(*[F.lit(g) for g in groups]), F.col("match_group"))
+        return rows.orderBy(rank, F.desc_nulls_first(order)).select(*PRODUCT_FIELDS, "match_group")
+    wanted = rows.select("product_ndc", *PACKAGE_FIELDS[:4], "match_group")
+    return wanted.join(packages.withColumnRenamed("description", "package_description"), "product_ndc").select(*PACKAGE_FIELDS, "match_group")
 
 
 def products_by_rxnorm(products: DataFrame, keys: object, ids: str = "rxnorm_ids") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Fixed values.
@@ -32,10 +33,14 @@ def stage(df: DataFrame, table: str, run: str) -> str:
     return name
 
 
-def append_new(df: DataFrame, table: str, key: str) -> None:
-    """Appends the rows whose key the table does not have; of rows that share a key, one is kept."""
-    spark = df.sparkSession
-    df.dropDuplicates([key]).join(spark.read.table(table).select(key), key, "left_anti").select(*spark.read.table(table).columns).write.mode("append").saveAsTable(table)
+def append_new(df: DataFrame, table: str, key: str, *order: str) -> None:
+    """Appends the rows whose key the table does not have; of rows that share a key, the first in the given order stands
+    (in the order of all columns if none is given).
+    """
+    there = df.sparkSession.read.table(table)
+    first = W.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order or df.columns])
+    rows = df.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    rows.join(there.select(key), key, "left_anti").select(*there.columns).write.mode("append").saveAsTable(table)
 
 
 def product_gate(staged: int, expected: int, share: float = LEAST_SHARE) -> tuple[bool, bool]:
@@ -53,10 +58,23 @@ def evidence_gate(staged: int, least: int = LEAST_EVIDENCE, allow_empty: bool =
 
 
 def gate(staged: DataFrame, key: str, expected: int, share: float = LEAST_SHARE) -> DataFrame:
-    """(staged, expected, publish) of a staged table, as a row."""
+    """(staged, expected, publish, warn) of a staged table of products, as a row."""
     counted = F.count(key)
-    least = F.floor(F.lit(expected) * F.lit(share))
-    return staged.agg(counted.alias("staged"), F.lit(expected).cast("long").alias("expected"), ((counted > 0) & (counted >= least)).alias("publish"))
+    good = (counted > 0) & (counted >= F.floor(F.lit(expected) * F.lit(share)))
+    return staged.agg(counted.alias("staged"), F.lit(expected).cast("long").alias("expected"), good.alias("publish"), (good & (counted != expected)).alias("warn"))
+
+
+def gate_labels(staged: DataFrame, key: str, expected: int | None) -> DataFrame:
+    """The same for labels: no row may be missing, none too many, and the expected count must be known."""
+    counted = F.count(key)
+    good = (counted == F.lit(expected)) & F.lit(bool(expected))
+    return staged.agg(counted.alias("staged"), F.lit(expected).cast("long").alias("expected"), F.coalesce(good, F.lit(False)).alias("publish"), F.lit(False).alias("warn"))
+
+
+def gate_evidence(staged: DataFrame, key: str, least: int = LEAST_EVIDENCE, allow_empty: bool = False) -> DataFrame:
+    """The same for evidence: a least count, unless an empty table is allowed."""
+    counted = F.count(key)
+    return staged.agg(counted.alias("staged"), F.lit(least).cast("long").alias("expected"), ((counted >= least) | F.lit(allow_empty)).alias("publish"), F.lit(False).alias("warn"))
 
 
 def checked(spark: SparkSession, table: str, key: str, good: bool) -> None:
@@ -81,14 +99,14 @@ def publish_by_replacement(spark: SparkSession, table: str, run: str, test: bool
     return True
 
 
-def publish_products(spark: SparkSession, products: DataFrame, packages: DataFrame, expected: int, run: str) -> None:
-    """Stages both tables, gates on the products, then publishes both."""
-    name = stage(products, "product", run)
-    stage(packages, "package", run)
+def publish_products(spark: SparkSession, products: DataFrame, packages: DataFrame, expected: int, run: str, prefix: str = "") -> None:
+    """Stages both tables, gates on the products, then publishes both; prefix may name a database (`db.`)."""
+    name = stage(products, f"{prefix}product", run)
+    stage(packages, f"{prefix}package", run)
     count = spark.read.table(name).agg(F.count("product_id")).first()[0]
     checked(spark, name, "product_id", product_gate(count, expected)[0])
-    publish_with_backup(spark, "product", run)
-    publish_with_backup(spark, "package", run)
+    publish_with_backup(spark, f"{prefix}product", run)
+    publish_with_backup(spark, f"{prefix}package", run)
 
 
 def add_column(spark: SparkSession, table: str, column: str, kind: str) -> bool:

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from medleaf.functions.text import blank_to_null
+
 #: Fixed values.
 TERMINAL = ("succeeded", "failed", "canceled", "dead_letter")
 TERMINAL_LIVE = (*TERMINAL, "cancelled")
 GUARDED = ("running", "succeeded", "failed", "dead_letter")
 CANCELING = ("canceling", "canceled")
 ACTIVE = ("queued", "starting", "running", "finalizing", "canceling")
+DEFAULTS = {"importer": "unknown", "source": "import-live-progress", "confidence": "live"}
 STALE_SECONDS, KEEP_SECONDS, PHASE_LENGTH, RUNS, MOST_RUNS = 90, 172_800, 128, 50, 200
 
 
@@ -86,22 +89,43 @@ def finish_at(now: Column, eta: Column) -> Column:
 
 
 def with_estimates(live: DataFrame, now: Column) -> DataFrame:
-    """Normal percentage, done count and estimate of every progress row (done, total, pct, elapsed_seconds, started_at)."""
+    """Normal percentage, done count and estimate of every progress row (done, total, pct, elapsed_seconds, started_at).
+
+    A finite eta_seconds that is there already stands, for runs that have ended too; one below 0 sets no
+    estimated_finish_at, and without an estimate the one that is there stands.
+    """
     ended = F.coalesce(F.lower("status").isin(*TERMINAL_LIVE), F.lit(False))
     out = live.withColumns({"pct": percent(F.col("pct"), F.col("done"), F.col("total"), ended), "__done": F.col("done")})
     spent = elapsed_seconds(F.col("elapsed_seconds"), F.col("started_at"), now)
-    out = out.withColumns({"eta_seconds": eta_seconds(F.col("__done"), F.col("total"), spent, ended), "done": done_at_end(F.col("__done"), F.col("total"), ended)})
-    return out.withColumn("estimated_finish_at", finish_at(now, F.col("eta_seconds"))).drop("__done")
+    found = eta_seconds(F.col("__done"), F.col("total"), spent, ended)
+    if "eta_seconds" in live.columns:
+        own = F.col("eta_seconds").cast("double")
+        found = F.coalesce(F.when(~F.isnan(own) & (F.abs(own) != float("inf")), own), found)
+    out = out.withColumns({"eta_seconds": found, "done": done_at_end(F.col("__done"), F.col("total"), ended)})
+    finish = F.when(F.col("eta_seconds") >= 0, finish_at(now, F.col("eta_seconds")))
+    finish = F.coalesce(finish, F.col("estimated_finish_at").cast("timestamp")) if "estimated_finish_at" in live.columns else finish
+    return out.withColumn("estimated_finish_at", finish).drop("__done")
 
 
 def latest_progress(updates: DataFrame, now: Column, run: str = "run_id", seq: str = "seq", at: str = "updated_at") -> DataFrame:
-    """The last update of each run, with its earliest start and its last known importer; hidden when it is stale."""
-    names = [c for c in updates.columns if c not in (run, seq, "started_at", "importer")]
-    named = F.nullif("importer", F.lit("unknown"))
-    known = named.isNotNull()
-    last = updates.groupBy(run).agg(
+    """The last update of each run, with its earliest start and its last known importer, source and confidence; hidden
+    when it is stale.
+
+    An update takes over from those before it if it has a start, or done and total counts, or no known importer; any other
+    one begins anew. A source or confidence that is not given is DEFAULTS', one that is empty or "unknown" is taken over.
+    """
+    carried = [c for c in ("importer", "source", "confidence") if c in updates.columns]
+    names = [c for c in updates.columns if c not in (run, seq, "started_at", *carried)]
+    filled = {c: F.coalesce(F.col(c), F.lit(DEFAULTS[c])) for c in carried}
+    counted = F.col("done").isNotNull() & F.col("total").isNotNull() if {"done", "total"} <= set(updates.columns) else F.lit(False)
+    joins = F.col("started_at").isNotNull() | counted | (filled["importer"] == "unknown")
+    rows = updates.withColumns(filled)
+    anew = rows.groupBy(run).agg(F.max(F.when(~joins, F.col(seq))).alias("__from"))
+    rows = rows.join(anew, run).filter(F.col("__from").isNull() | (F.col(seq) >= F.col("__from")))
+    known = {c: ~F.col(c).isin("", "unknown") for c in carried}
+    last = rows.groupBy(run).agg(
         *[F.max_by(c, seq).alias(c) for c in names], F.min("started_at").alias("started_at"),
-        F.coalesce(F.max_by(F.when(known, named), F.when(known, F.col(seq))), F.lit("unknown")).alias("importer"),
+        *[F.coalesce(F.max_by(F.when(known[c], F.col(c)), F.when(known[c], F.col(seq))), F.max_by(c, seq)).alias(c) for c in carried],
     )
     age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col(at).cast("timestamp"))
     return last.filter(age <= STALE_SECONDS * 1_000_000)
@@ -124,27 +148,40 @@ def estimate_json(live: dict[str, Column]) -> Column:
     ))
 
 
-def overlay(runs: DataFrame, live: DataFrame, fields: tuple[str, ...] = ("unit", "done", "total", "pct", "message")) -> DataFrame:
-    """Runs with live progress over the stored one, field by field, where the run is active and live progress is there."""
-    names = [*fields, "phase", "eta_seconds"]
-    now = live.select("run_id", *[F.col(c).alias(f"live_{c}") for c in names if c in live.columns])
-    out, active = runs.join(now, "run_id", "left"), F.col("status").isin(*ACTIVE)
-    pick = {c: F.when(active, F.coalesce(f"live_{c}", c)).otherwise(F.col(c)) for c in fields if f"live_{c}" in out.columns}
-    pick["phase"] = F.when(active & F.col("live_phase").isNotNull(), F.substring("live_phase", 1, PHASE_LENGTH)).otherwise(F.col("phase"))
-    if "live_eta_seconds" in out.columns:
-        pick["eta_seconds"] = F.when(active, F.col("live_eta_seconds"))
-    return out.withColumns(pick).drop(*[f"live_{c}" for c in names])
+def overlay(runs: DataFrame, live: DataFrame) -> DataFrame:
+    """Runs (run_id, status, phase, unit, done, total, pct, message) with live progress over the stored one, where the run is
+    active and live progress is there; columns that runs lack count as null.
+
+    Counts that live progress lacks are the stored ones; unit, message and the estimate (eta_seconds,
+    estimated_finish_at, confidence, source, estimate_updated_at) are the live ones, with their defaults.
+    """
+    text = lambda c: blank_to_null(F.col(c).cast("string"))
+    names = ["phase", "unit", "done", "total", "pct", "message", "updated_at", "eta_seconds", "estimated_finish_at", "confidence", "source"]
+    have = set(live.columns)
+    now = live.select("run_id", F.lit(True).alias("__live"), *[(F.col(c) if c in have else F.lit(None).cast("string")).alias(f"live_{c}") for c in names])
+    out = runs.join(now, "run_id", "left")
+    active = F.coalesce(F.col("status").isin(*ACTIVE) & F.col("__live"), F.lit(False))
+    stored = {c: F.col(c) if c in runs.columns else F.lit(None) for c in (*names, "estimate_updated_at")}
+    shown = {c: F.coalesce(F.col(f"live_{c}"), stored[c]) for c in ("done", "total", "pct", "updated_at")}
+    shown |= {"unit": F.coalesce(text("live_unit"), F.lit("run")), "message": F.coalesce(text("live_message"), text("live_phase"), F.lit("running"))}
+    shown |= {"phase": F.coalesce(F.substring(text("live_phase"), 1, PHASE_LENGTH), stored["phase"])}
+    shown |= {c: F.col(f"live_{c}") for c in ("eta_seconds", "estimated_finish_at")}
+    shown |= {c: F.coalesce(text(f"live_{c}"), F.lit(DEFAULTS[c])) for c in ("confidence", "source")} | {"estimate_updated_at": F.col("live_updated_at")}
+    return out.withColumns({c: F.when(active, v).otherwise(stored[c]) for c, v in shown.items()}).drop("__live", *[f"live_{c}" for c in names])
 
 
 def admitted(requests: DataFrame, runs: DataFrame, key: str = "idempotency_key", order: str = "requested_at") -> DataFrame:
     """Every request with the run it gets: that of an active run with its key, else that of the first request with it.
 
-    Adds run_id and is_new. Requests without a key are always new.
+    Adds run_id and is_new. Requests without a key are always new. The first request of a key is an aggregate, so that
+    no key's requests meet in one task.
     """
     active = runs.filter(F.col("status").isin(*ACTIVE) & F.col(key).isNotNull()).groupBy(key).agg(F.min("run_id").alias("active_run"))
-    first = W.partitionBy(key).orderBy(order, "request_id")
     own = F.concat(F.lit("run-"), F.col("request_id").cast("string"))
-    out = requests.join(active, key, "left")
-    out = out.withColumns({"leader": F.when(F.col(key).isNull(), own).otherwise(F.first(own).over(first)), "nth": F.row_number().over(first)})
-    new = F.col("active_run").isNull() & (F.col(key).isNull() | (F.col("nth") == 1))
-    return out.withColumns({"run_id": F.coalesce("active_run", "leader"), "is_new": new}).drop("active_run", "leader", "nth")
+    keyed, free = requests.filter(F.col(key).isNotNull()), requests.filter(F.col(key).isNull())
+    leaders = keyed.groupBy(key).agg(F.min(F.struct(order, "request_id")).alias("__first"))
+    leaders = leaders.join(active, key, "left").select(key, "active_run", F.concat(F.lit("run-"), F.col("__first.request_id").cast("string")).alias("leader"))
+    out = keyed.join(leaders, key)
+    out = out.withColumns({"run_id": F.coalesce("active_run", "leader"), "is_new": F.col("active_run").isNull() & (F.col("leader") == own)})
+    names = [*requests.columns, "run_id", "is_new"]
+    return out.select(*names).unionByName(free.withColumns({"run_id": own, "is_new": F.lit(True)}).select(*names))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from medleaf.plans.cycle import CYCLE_QUERIES
 from medleaf.plans.evidence import EVIDENCE_QUERIES
 from medleaf.plans.lookups import LOOKUP_QUERIES
 from medleaf.plans.records import RECORD_QUERIES
 from medleaf.plans.runs import RUN_QUERIES
 
-_ALL = {**LOOKUP_QUERIES, **RECORD_QUERIES, **EVIDENCE_QUERIES, **RUN_QUERIES}
+_ALL = {**LOOKUP_QUERIES, **RECORD_QUERIES, **EVIDENCE_QUERIES, **RUN_QUERIES, **CYCLE_QUERIES}
 
 
 def queries():

@@ -10,6 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; the warehouse if that is unset and all is local."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = spark.conf.get("spark.sql.warehouse.dir")
+    return path.rstrip("/")
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part: generic and brand names (own, other, none), RxNorm ids from brand and type."""
     key = F.col("p_partkey")

@@ -72,7 +72,7 @@ _BOTH = "(SELECT * FROM rel UNION ALL SELECT * FROM tem)"
 EVIDENCE_QUERIES = {
     "relationship_evidence": (relationship_evidence, _sql("rel")),
     "term_evidence": (term_evidence, _sql("tem")),
-    "evidence_summary": (evidence_summary, f"WITH {EVIDENCE} SELECT (SELECT count(*) FROM documents) AS labels_scanned, count(*) AS evidence_rows, count(DISTINCT label_id) AS matched_labels FROM {_BOTH}"),
+    "evidence_summary": (evidence_summary, f"WITH {EVIDENCE} SELECT (SELECT count(*) FROM documents) AS labels_scanned, count(*) AS evidence_rows, count(*) AS matched_labels FROM {_BOTH}"),
     "conditions_by_rxnorm": (conditions_by_rxnorm, f"WITH {EVIDENCE} SELECT evidence_id, label_id, condition_code FROM {_BOTH} WHERE product_code = 'src3' ORDER BY evidence_id LIMIT 100"),
     "conditions_by_product": (conditions_by_product, f"WITH {EVIDENCE} SELECT evidence_id, label_id, condition_code FROM {_BOTH} WHERE product_code = 'src5' ORDER BY evidence_id LIMIT 500"),
     "conditions_by_label": (conditions_by_label, f"WITH {EVIDENCE} SELECT evidence_id, label_id, condition_code, confidence FROM {_BOTH} WHERE set_id = 'S7'"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +15,16 @@ from medleaf.operators import hygiene, publish
 from medleaf.operators import labels as label_ops
 from medleaf.operators import products as product_ops
 from medleaf.operators.serialize import json_rows
-from medleaf.plans.bindings import PRODUCTS, labels, packages, products, table
+from medleaf.plans.bindings import PRODUCTS, labels, products, shared_folder, table
 from medleaf.sources import archives
 
 
 def _landed(rows: DataFrame, record, order: str) -> str:
     """Writes records as JSON documents {"results": [...]} of 500 at most to the shared folder; gives the folder."""
-    spark = rows.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/landed-{uuid.uuid4().hex}"
+    path = f"{shared_folder(rows.sparkSession)}/landed-{uuid.uuid4().hex}"
     groups = rows.select(F.floor(F.col(order) / 500).alias("g"), F.struct(order, record.alias("r")).alias("x"))
     texts = groups.groupBy("g").agg(F.array_sort(F.collect_list("x")).alias("x")).select(F.to_json(F.struct(F.transform("x", lambda v: v["r"]).alias("results"))).alias("value"))
-    # one document to a file: the reader takes a file as one document
-    texts.repartition(max(1, texts.count()), "value").write.option("maxRecordsPerFile", 1).text(path)
+    texts.write.option("maxRecordsPerFile", 1).text(path)  # the reader takes a file as one document
     return path
 
 
@@ -85,16 +83,20 @@ def import_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = F.when(F.col("doc_id") % 3 != 0, F.struct(F.array("source").alias("product_ndc")))
     record = F.struct(
         F.concat(F.lit("L"), F.col("doc_id").cast("string")).alias("id"), F.col("source").alias("set_id"), F.lit("").alias("version"),
-        F.array(F.lit("  "), F.col("lang"), F.col("source"), F.lit("")).alias("warnings"), F.when(F.col("doc_id") % 2 == 0, F.array().cast("array<string>")).alias("purpose"), registry.alias("openfda"),
+        F.array(F.lit("  "), F.col("lang"), F.col("source"), F.lit("")).alias("warnings"),
+        F.array(F.lit(" "), F.col("text")).alias("indications_and_usage"), F.when(F.col("doc_id") % 2 == 0, F.array().cast("array<string>")).alias("purpose"), registry.alias("openfda"),
     )
-    path = _landed(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), record, "doc_id")
-    rows = label_ops.first_labels(label_ops.labels(archives.read_records(spark, path, schemas.LABEL_RECORD)))
-    return rows.select("id", "set_id", "version", "warnings", "purpose", F.array_join("product_ndc", ",").alias("product_codes"), F.size("package_ndc").alias("package_codes"))
+    path = _landed(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), record, "doc_id")
+    rows = label_ops.last_labels(label_ops.labels(archives.read_records(spark, path, schemas.LABEL_RECORD)))
+    said = F.coalesce("indications_and_usage", F.lit(""))
+    return rows.select("id", "set_id", "version", "warnings", "purpose", F.length(said).alias("said"), F.sha2(said, 256).alias("said_hash"), F.array_join("product_ndc", ",").alias("product_codes"), F.size("package_ndc").alias("package_codes"))
 
 
-IMPORT_LABELS = r"""
+_WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+IMPORT_LABELS = rf"""
+WITH d AS (SELECT *, regexp_replace(coalesce(text, ''), '^{_WHITE}|{_WHITE}$', '', 'g') AS said FROM documents)
 SELECT 'L' || doc_id AS id, source AS set_id, NULL::VARCHAR AS version, lang || chr(10) || source AS warnings, CASE WHEN doc_id % 2 = 0 THEN '' END AS purpose,
-  CASE WHEN doc_id % 3 <> 0 THEN source ELSE '' END AS product_codes, 0::INTEGER AS package_codes FROM documents
+  length(said)::INTEGER AS said, sha256(said) AS said_hash, CASE WHEN doc_id % 3 <> 0 THEN source ELSE '' END AS product_codes, 0::INTEGER AS package_codes FROM d
 """
 
 
@@ -186,15 +188,26 @@ def dedupe_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the parts that lines name are enough of all parts to publish."""
-    parts = table(spark, sf_dir, "part")
+    """Whether there are enough rows to publish: parts that lines name of all parts (as products), customers that order of
+    all customers (as labels), and documents (as evidence).
+    """
+    parts, customers, orders = (table(spark, sf_dir, t) for t in ("part", "customer", "orders"))
     used = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id")).distinct()
-    return publish.gate(used, "product_id", parts.count())
+    buyers = orders.select(F.col("o_custkey").alias("id")).distinct()
+    gates = {
+        "product": publish.gate(used, "product_id", parts.count()), "label": publish.gate_labels(buyers, "id", customers.count()),
+        "all labels": publish.gate_labels(buyers, "id", buyers.count()), "evidence": publish.gate_evidence(table(spark, sf_dir, "documents"), "doc_id", least=201),
+    }
+    return functools.reduce(DataFrame.unionByName, [rows.withColumn("gate", F.lit(name)) for name, rows in gates.items()])
 
 
 GATE_COUNTS = """
-SELECT count(DISTINCT l_partkey) AS staged, (SELECT count(*) FROM part) AS expected,
-  count(DISTINCT l_partkey) > 0 AND count(DISTINCT l_partkey) >= floor((SELECT count(*) FROM part) * 0.95) AS publish FROM lineitem
+WITH p AS (SELECT count(DISTINCT l_partkey) AS staged, (SELECT count(*) FROM part) AS expected FROM lineitem),
+  b AS (SELECT count(DISTINCT o_custkey) AS staged, (SELECT count(*) FROM customer) AS expected FROM orders)
+SELECT 'product' AS gate, staged, expected, staged > 0 AND staged >= floor(expected * 0.95) AS publish, staged > 0 AND staged >= floor(expected * 0.95) AND staged <> expected AS warn FROM p
+UNION ALL SELECT 'label', staged, expected, expected > 0 AND staged = expected, false FROM b
+UNION ALL SELECT 'all labels', staged, staged, staged > 0, false FROM b
+UNION ALL SELECT 'evidence', count(doc_id), 201, count(doc_id) >= 201, false FROM documents
 """
 
 
@@ -231,7 +244,7 @@ SCAN = {**hygiene.PATTERNS, "license-line": r"(?i)\blicensed under\b", "mail-add
 
 
 def pattern_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hygiene.scan_texts(table(spark, sf_dir, "documents"), "doc_id", "text", SCAN)
+    return hygiene.scan_texts(table(spark, sf_dir, "documents"), "doc_id", "text", SCAN, needed={**hygiene.NEEDED, "license-line": ("licensed under",), "mail-address": ("@",)})
 
 
 PATTERN_SCAN = "\nUNION ALL ".join(f"SELECT '{label}' AS label, doc_id FROM documents WHERE regexp_matches(text, '{p.replace(chr(39), chr(39) * 2)}')" for label, p in SCAN.items())
@@ -245,7 +258,7 @@ def name_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAME_SCAN = r"""
 WITH p AS (SELECT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages)
 SELECT 'forbidden path component' AS problem, path FROM p WHERE list_has_any(string_split(path, '/'), ['fr', 'de', '.codex'])
-UNION ALL SELECT 'forbidden file name', path FROM p WHERE string_split(path, '/')[-1] IN ('7424.html', '4033.html', 'AGENTS.md')
+UNION ALL SELECT 'forbidden instruction file', path FROM p WHERE string_split(path, '/')[-1] IN ('7424.html', '4033.html', 'AGENTS.md')
 """
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medleaf.operators import runs as R
-from medleaf.plans.bindings import EVENTS, run_events, table
+from medleaf.plans.bindings import EVENTS, run_events, shared_folder, table
 from medleaf.streaming import progress as P
 
 NOW = "2024-01-31 00:00:00"
@@ -51,44 +51,102 @@ def run_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as progress updates of the runs with the users' numbers."""
-    kind = F.col("event_type")
+    kind, id_ = F.col("event_type"), F.col("event_id")
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), F.col("event_id").alias("seq"), F.col("ts").alias("updated_at"),
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), id_.alias("seq"), F.col("ts").alias("updated_at"),
         F.when(kind == "signup", F.col("ts")).alias("started_at"), F.when(kind == "error", "unknown").otherwise(kind).alias("importer"), F.lit("running").alias("status"), kind.alias("phase"),
-        F.lit("rows").alias("unit"), F.round("value").alias("done"), F.lit(20.0).alias("total"), F.lit(None).cast("double").alias("pct"), F.lit(None).cast("double").alias("elapsed_seconds"),
+        F.lit("rows").alias("unit"), F.when(id_ % 7 != 0, F.round("value")).alias("done"), F.lit(20.0).alias("total"), F.lit(None).cast("double").alias("pct"), F.lit(None).cast("double").alias("elapsed_seconds"),
+        F.when(id_ % 3 == 0, "unknown").when(id_ % 3 == 1, F.concat(F.lit("src-"), kind)).alias("source"), F.when(id_ % 5 == 0, "").when(id_ % 5 == 1, "low").alias("confidence"),
+        F.when(id_ % 11 == 0, F.col("value") - 3).alias("eta_seconds"),
     )
 
 
+# An update with neither a start nor both counts, whose importer is known, takes nothing over from those before it.
 _LIVE = """
-u AS (SELECT 'run-' || user_id AS run_id, event_id AS seq, ts, event_type, round(value) AS done, 20.0::DOUBLE AS total FROM events),
+u AS (SELECT 'run-' || user_id AS run_id, event_id AS seq, ts, event_type, CASE WHEN event_id % 7 <> 0 THEN round(value) END AS done, CASE event_id % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'src-' || event_type ELSE 'import-live-progress' END AS source,
+  CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'low' ELSE 'live' END AS confidence, CASE WHEN event_id % 11 = 0 THEN value - 3 END AS eta FROM events),
+a AS (SELECT *, max(seq) FILTER (event_type NOT IN ('signup', 'error') AND done IS NULL) OVER (PARTITION BY run_id) AS anew FROM u),
 l AS (SELECT run_id, max_by(ts, seq) AS updated_at, min(ts) FILTER (event_type = 'signup') AS started_at, coalesce(max_by(event_type, seq) FILTER (event_type <> 'error'), 'unknown') AS importer,
-  max_by(event_type, seq) AS phase, max_by(done, seq) AS done, 20.0::DOUBLE AS total FROM u GROUP BY run_id)"""
+  coalesce(max_by(source, seq) FILTER (source <> 'unknown'), 'unknown') AS source, coalesce(max_by(confidence, seq) FILTER (confidence <> ''), '') AS confidence,
+  max_by(event_type, seq) AS phase, arg_max_null(done, seq) AS done, 20.0::DOUBLE AS total, arg_max_null(eta, seq) AS eta FROM a WHERE anew IS NULL OR seq >= anew GROUP BY run_id)"""
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.latest_progress(_updates(spark, sf_dir), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def latest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last update of each run that is not stale at the time of the last event."""
+    """The last update of each run that is not stale a day after the last event of most."""
     updates = _updates(spark, sf_dir)
     now = F.lit(str(updates.agg(F.max("updated_at")).first()[0])).cast("timestamp_ntz")
-    return R.latest_progress(updates, now).select("run_id", "updated_at", "started_at", "importer", "phase", "done")
+    return R.latest_progress(updates, now).select("run_id", "updated_at", "started_at", "importer", "source", "confidence", "phase", "done")
 
 
 def eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentage and time left of every run's last update."""
-    last = _updates(spark, sf_dir).groupBy("run_id").agg(*[F.max_by(c, "seq").alias(c) for c in ("status", "done", "total", "pct", "elapsed_seconds")], F.min("started_at").alias("started_at"))
-    rows = R.with_estimates(last, F.lit(NOW).cast("timestamp_ntz"))
+    rows = R.with_estimates(_latest(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"))
     return rows.select("run_id", F.round("pct", 6).alias("pct"), "done", F.round("eta_seconds", 3).alias("eta_seconds"), F.date_trunc("second", "estimated_finish_at").cast("timestamp_ntz").alias("finish_second"))
 
 
 ETA = f"""
-WITH {_LIVE}, e AS (SELECT run_id, done, greatest(0.0, least(done / total * 100, 99.9)) AS pct, CASE WHEN total > done AND done > 0 AND started_at < TIMESTAMP '2024-01-31'
-    THEN (total - done) * ((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(started_at)) / 1e6 / done) END AS eta FROM l)
-SELECT run_id, round(pct, 6) AS pct, done, round(eta, 3) AS eta_seconds, date_trunc('second', make_timestamp(epoch_us(TIMESTAMP '2024-01-31') + round(eta * 1e6)::BIGINT)) AS finish_second FROM e
+WITH {_LIVE}, e AS (SELECT run_id, done, greatest(0.0, least(done / total * 100, 99.9)) AS pct, coalesce(eta, CASE WHEN total > done AND done > 0 AND started_at < TIMESTAMP '2024-01-31'
+    THEN (total - done) * ((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(started_at)) / 1e6 / done) END) AS eta FROM l)
+SELECT run_id, round(CASE WHEN done IS NOT NULL THEN pct END, 6) AS pct, done, round(eta, 3) AS eta_seconds,
+  CASE WHEN eta >= 0 THEN date_trunc('second', make_timestamp(epoch_us(TIMESTAMP '2024-01-31') + round(eta * 1e6)::BIGINT)) END AS finish_second FROM e
 """
 
 
 def run_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live = _updates(spark, sf_dir).groupBy("run_id").agg(*[F.max_by(c, "seq").alias(c) for c in ("phase", "done", "unit")])
-    return R.overlay(_runs(spark, sf_dir), live, fields=("unit", "done")).select("run_id", "status", "phase", "unit", "done", "total")
+    """orders as runs under the live progress of the users' events."""
+    rows = R.overlay(_runs(spark, sf_dir), _latest(spark, sf_dir))
+    return rows.select("run_id", "status", "phase", "unit", "done", "total", "message", "updated_at", "eta_seconds", "confidence", "source", "estimate_updated_at")
+
+
+RUN_OVERLAY = f"""
+WITH {_RUNS}, {_LIVE}, j AS (SELECT r.*, status <> 'succeeded' AND l.run_id IS NOT NULL AS live, l.phase AS p, l.done AS d, l.total AS t, l.updated_at, l.eta, l.confidence, l.source FROM r LEFT JOIN l USING (run_id))
+SELECT run_id, status, CASE WHEN live THEN p ELSE phase END AS phase, CASE WHEN live THEN 'rows' ELSE unit END AS unit, CASE WHEN live THEN coalesce(d, done) ELSE done END AS done, CASE WHEN live THEN t ELSE total END AS total,
+  CASE WHEN live THEN p END AS message, CASE WHEN live THEN updated_at END AS updated_at, CASE WHEN live THEN eta END AS eta_seconds,
+  CASE WHEN live THEN coalesce(nullif(confidence, ''), 'live') END AS confidence, CASE WHEN live THEN source END AS source, CASE WHEN live THEN updated_at END AS estimate_updated_at FROM j
+"""
+
+
+def default_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress of runs that say none: of orders by their state, and as evidence runs over as many labels as the order's key."""
+    runs = _runs(spark, sf_dir)
+    ours, theirs = R.default_progress(F.col("status"), F.col("importer")), R.evidence_progress(F.when(F.col("done") > 0, F.col("done")), F.col("status") == "succeeded")
+    return runs.select("run_id", *[ours[c].alias(c) for c in ("unit", "done", "total", "pct", "message")], *[theirs[c].alias(f"evidence_{c}") for c in ("done", "total", "pct", "phase")])
+
+
+DEFAULT_PROGRESS = f"""
+WITH {_RUNS} SELECT run_id, 'run' AS unit, CASE WHEN status = 'succeeded' THEN 1.0 ELSE 0.0 END::DOUBLE AS done, 1.0::DOUBLE AS total, CASE WHEN status = 'succeeded' THEN 100.0 ELSE 0.0 END::DOUBLE AS pct, importer AS message,
+  done AS evidence_done, done AS evidence_total, 100.0::DOUBLE AS evidence_pct, 'drug indications import ' || CASE WHEN status = 'succeeded' THEN 'published' ELSE 'staged' END AS evidence_phase FROM r
+"""
+
+
+def live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live progress of every run from its updates as a stream, read to its end."""
+    path = f"{shared_folder(spark)}/live-{uuid.uuid4().hex}"
+    schema, kind = table(spark, sf_dir, "events").schema, F.col("event_type")
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    updates = events.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), "event_id", F.col("ts").cast("timestamp").alias("updated_at"), F.when(kind == "signup", F.col("ts")).cast("timestamp").alias("started_at"),
+        F.when(kind == "error", "unknown").otherwise(kind).alias("importer"), F.lit("running").alias("status"), kind.alias("phase"), F.round("value").alias("done"), F.lit(20.0).alias("total"),
+    )
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+
+    query = P.live_progress_stream(updates).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    out = spark.read.schema(f"{P.LIVE}, batch int").option("basePath", f"{path}/out").parquet(f"{path}/out")
+    last = out.groupBy("run_id").agg(F.max_by(F.struct("importer", "phase", "done", "pct"), "batch").alias("r"))
+    return last.select("run_id", "r.importer", "r.phase", "r.done", F.round("r.pct", 6).alias("pct"))
+
+
+LIVE_PROGRESS = """
+SELECT 'run-' || user_id AS run_id, coalesce(max_by(event_type, (ts, event_id)) FILTER (event_type <> 'error'), 'unknown') AS importer, max_by(event_type, (ts, event_id)) AS phase, max_by(round(value), (ts, event_id)) AS done,
+  round(greatest(0.0, least(100.0 * max_by(round(value), (ts, event_id)) / 20.0, 99.9)), 6) AS pct FROM events GROUP BY user_id
+"""
 
 
 def progress_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,8 +185,7 @@ def throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a stream, read to its end."""
-    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    path = f"{base}/throttle-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/throttle-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     sent = P.throttled_stream(_status_events(events), INTERVAL)
@@ -155,14 +212,12 @@ RUN_QUERIES = {
     "run_lookup": (run_lookup, f"WITH {_RUNS} SELECT run_id, created_at, status, importer FROM r WHERE run_id = 'run-42'"),
     "latest_progress": (
         latest_progress,
-        f"WITH {_LIVE} SELECT run_id, updated_at, started_at, importer, phase, done FROM l WHERE epoch_us((SELECT max(ts) FROM events)) - epoch_us(updated_at) <= 90000000",
+        f"WITH {_LIVE} SELECT run_id, updated_at, started_at, importer, source, confidence, phase, done FROM l WHERE epoch_us((SELECT max(ts) FROM events)) - epoch_us(updated_at) <= 90000000",
     ),
     "eta": (eta, ETA),
-    "run_overlay": (
-        run_overlay,
-        f"WITH {_RUNS}, {_LIVE} SELECT r.run_id, status, CASE WHEN status <> 'succeeded' THEN coalesce(l.phase, r.phase) ELSE r.phase END AS phase, CASE WHEN status <> 'succeeded' AND l.run_id IS NOT NULL THEN 'rows' ELSE r.unit END AS unit, "
-        "CASE WHEN status <> 'succeeded' THEN coalesce(l.done, r.done) ELSE r.done END AS done, r.total FROM r LEFT JOIN l ON l.run_id = r.run_id",
-    ),
+    "run_overlay": (run_overlay, RUN_OVERLAY),
+    "default_progress": (default_progress, DEFAULT_PROGRESS),
+    "live_progress": (live_progress, LIVE_PROGRESS),
     "progress_payload": (
         progress_payload,
         """SELECT event_id AS seq, '{"unit":"' || CASE WHEN event_id % 2 = 0 THEN 'rows' ELSE 'run' END || '"' || CASE WHEN event_id % 3 <> 0 THEN ',"done":' || round(value)::BIGINT ELSE '' END || ',"message":"' || event_type || '","phase":"' || event_type || '"}' AS progress,

@@ -30,46 +30,71 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
-    """The members of the array `results` of a JSON document, one after the other, without holding the document."""
+    """The members of the array under the key `results` of a JSON object, as they are written there, one after the other
+    and without holding the document. Only the object's own key counts, not one of that name further in; a document
+    without it gives nothing, and one that is cut short raises ValueError.
+    """
     decoder, buffer, ended = json.JSONDecoder(), "", False
 
-    def more() -> None:
+    def upcoming() -> str:
+        """The next character that is no white space, "" at the end."""
         nonlocal buffer, ended
-        new = text.read(piece)
-        buffer, ended = buffer + new, not new
+        while not (buffer := buffer.lstrip(" \t\r\n")) and not ended:
+            ended = not (buffer := text.read(piece))
+        return buffer[:1]
 
-    while not ended and '"results"' not in buffer:
-        more()
-    at = buffer.find('"results"')
-    if at < 0:
+    def value() -> str:
+        """The next value, as it is written."""
+        nonlocal buffer, ended
+        while True:
+            try:
+                upcoming()
+                end = decoder.raw_decode(buffer)[1]
+                if not ended and (end == len(buffer) or buffer[end] not in ",:]} \t\r\n"):
+                    raise ValueError  # a number may go on
+            except ValueError:
+                if ended:
+                    raise
+                new = text.read(piece)
+                buffer, ended = buffer + new, not new
+                continue
+            found, buffer = buffer[:end], buffer[end:]
+            return found
+
+    def past(*marks: str) -> str:
+        nonlocal buffer
+        if (mark := upcoming()) not in marks or not mark:
+            raise ValueError(f"one of {marks} expected in a JSON document")
+        buffer = buffer[1:]
+        return mark
+
+    if upcoming() != "{":
         return
-    buffer = buffer[at + len('"results"') :]
-    while not ended and "[" not in buffer:
-        more()
-    buffer = buffer[buffer.find("[") + 1 :] if "[" in buffer else ""
-    while True:
-        buffer = buffer.lstrip(" \t\r\n,")
-        if buffer[:1] == "]" or (not buffer and ended):
-            return
-        try:
-            if not buffer:
-                raise ValueError
-            value, end = decoder.raw_decode(buffer)
-            if not ended and (end == len(buffer) or buffer[end] not in ",] \t\r\n"):
-                raise ValueError  # a number may go on
-        except ValueError:
-            if ended:
-                raise
-            more()
-            continue
-        yield json.dumps(value, ensure_ascii=False)
-        buffer = buffer[end:]
+    past("{")
+    mark = "," if upcoming() != "}" else past("}")
+    while mark == ",":
+        key = json.loads(value())
+        past(":")
+        if key == "results" and upcoming() == "[":
+            past("[")
+            inner = "," if upcoming() != "]" else past("]")
+            while inner == ",":
+                yield value()
+                inner = past(",", "]")
+        else:
+            value()
+        mark = past(",", "}")
 
 
 def read_zipped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """(archive, pos, record) of zip archives that hold one JSON document each; one task reads one archive, wherever
     Spark can read it. An archive cannot be split, so repartition what is read before heavy work.
     """
+    return unzipped(spark.read.format("binaryFile").load(path).select("path", "content"), schema)
+
+
+def unzipped(archives: DataFrame, schema: T.StructType) -> DataFrame:
+    """(archive, pos, record) of zip archives (path, content); archive is the last part of the path."""
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +114,7 @@ def read_zipped(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     def made(name: str, first: int, rows: list[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([name.rpartition("/")[2]] * len(rows), pa.string()), pa.array(range(first, first + len(rows)), pa.int32()), pa.array(rows, pa.string())], names=["archive", "pos", "json"])
 
-    texts = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(unzip, "archive string, pos int, json string")
+    texts = archives.select("path", "content").mapInArrow(unzip, "archive string, pos int, json string")
     return texts.select("archive", "pos", F.from_json("json", schema).alias("record"))
 
 

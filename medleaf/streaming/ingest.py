@@ -22,7 +22,8 @@ def ingest(records: DataFrame, normal: Callable[[DataFrame], DataFrame], table:
     """Appends what is new to the staged copy of a table, batch by batch, until all that has landed is read. Gives the
     number of staged rows.
 
-    A batch that is tried again adds nothing twice: rows whose key is staged already are skipped.
+    A batch that is tried again adds nothing twice: rows whose key is staged already are skipped. Staged rows are those of
+    the first batch that has their key; within a batch, the last in the order of archive and position stands.
     """
     spark, name = records.sparkSession, publish.staged_name(table, run)
 

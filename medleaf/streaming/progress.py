@@ -54,9 +54,15 @@ def throttled(events: DataFrame, seconds: float = INTERVAL_SECONDS) -> DataFrame
 
 
 def throttled_stream(events: DataFrame, seconds: float = INTERVAL_SECONDS) -> DataFrame:
-    """The same of a stream; within a micro-batch events are taken in the order of (ts, event_id)."""
+    """The same of a stream; within a micro-batch events are taken in the order of (ts, event_id). A run's state is given up
+    KEEP_SECONDS after its last event, on the watermark's clock, and events that late are dropped. A micro-batch's events of one run are held by one task: bound them with the
+    source's maxFilesPerTrigger.
+    """
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get if state.exists else None
         rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "event_id"])
         known, keep = (tuple(last) if last else None), []
@@ -65,9 +71,11 @@ def throttled_stream(events: DataFrame, seconds: float = INTERVAL_SECONDS) -> Da
             keep.append(sent)
         if known:
             state.update(known)
+            state.setTimeoutTimestamp(max(int(known[0].timestamp() * 1000), state.getCurrentWatermarkMs()) + KEEP_SECONDS * 1000)
         yield rows[keep][["run_id", "event_id", "ts", "status", "phase"]]
 
-    return _clean(events).groupBy("run_id").applyInPandasWithState(fold, EVENT, "ts timestamp, status string, phase string", "append", GroupStateTimeout.NoTimeout)
+    rows = _clean(events).withWatermark("ts", f"{KEEP_SECONDS} seconds")
+    return rows.groupBy("run_id").applyInPandasWithState(fold, EVENT, "ts timestamp, status string, phase string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 LIVE = "run_id string, updated_at timestamp, started_at timestamp, importer string, status string, phase string, done double, total double, pct double, eta_seconds double"
@@ -87,6 +95,8 @@ def live_progress_stream(updates: DataFrame) -> DataFrame:
         started, importer = state.get if state.exists else (None, "unknown")
         rows = pd.concat(list(batches), ignore_index=True).sort_values(["updated_at", "event_id"])
         for e in rows.itertuples(index=False):
+            if e.importer and e.importer != "unknown" and pd.isna(e.started_at) and (pd.isna(e.done) or pd.isna(e.total)):
+                started = None  # such an update takes nothing over
             if not pd.isna(e.started_at):
                 started = e.started_at if started is None else min(started, e.started_at)
             if e.importer and e.importer != "unknown":

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import io
 import json
 import zipfile
 
@@ -88,7 +89,7 @@ def test_labels(spark, tmp_path):
     first = next(r for r in got.collect() if r.set_id == "s")
     assert first.warnings == "first\nsecond" and first.purpose == "" and first.abuse is None and first.version is None and first.product_ndc == ["a"] and first.package_ndc == []
     assert len(schemas.LABEL.names) == 129
-    assert [r.set_id for r in L.first_labels(got).collect()] == ["later"]
+    assert [r.set_id for r in L.last_labels(got).collect()] == ["later"]
 
 
 def test_manifest_and_caps(spark, tmp_path):
@@ -111,13 +112,22 @@ def test_zipped_archives(spark, tmp_path):
 
 @pytest.mark.parametrize("text", ['{"results":[]}', '{"results": [1, 2.5, "a,]", {"b": [1]}]}', '{"x": 1}', ""])
 def test_results_in_small_pieces(text):
-    import io
-
     want = json.loads(text).get("results", []) if text else []
     for piece in (1, 2, 7, 100):
         assert [json.loads(r) for r in archives.results(io.StringIO(text), piece)] == want
 
 
+@pytest.mark.parametrize("piece", [1, 3, 1 << 20])
+def test_only_the_documents_own_results_count(piece):
+    for text, want in (
+        ('{"meta":{"results":{"tags":[9,8]}},"results":[{"a":1}]}', [{"a": 1}]), ('{"results":[],"x":[1]}', []), ('{"x":"\\"results\\":[1]"}', []), ('{"a":{"results":[1]}}', []),
+        (' { "results" : [ 1 , 23 , "x" , null ] , "z" : 4.5 } ', [1, 23, "x", None]), ("{}", []), ("", []), ("[1]", []), ('{"results":5}', []),
+    ):
+        assert [json.loads(r) for r in archives.results(io.StringIO(text), piece)] == want
+    with pytest.raises(ValueError):
+        list(archives.results(io.StringIO('{"results":[1,'), piece))
+
+
 def test_or_empty(spark):
     bad = lambda: spark.read.parquet("/nowhere/at/all")
     assert archives.or_empty(bad, spark, schemas.CATALOG, allow_empty=True).count() == 0

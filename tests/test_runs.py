@@ -43,6 +43,23 @@ def test_estimates(spark):
     assert got == {"a": (50.0, 5.0, 20.0), "b": (50.0, 5.0, 40.0), "c": (100.0, 10.0, None), "d": (99.9, 30.0, None), "e": (None, None, None), "f": (0.0, 1.0, None)}
 
 
+def test_a_given_estimate_stands(spark):
+    df = spark.createDataFrame([("a", "running", 7.0), ("b", "failed", 3.0), ("c", "running", -1.0), ("d", "running", float("inf")), ("e", "running", None)], "run_id string, status string, eta_seconds double")
+    df = df.withColumns({"done": F.lit(5.0), "total": F.lit(10.0), "pct": F.lit(None).cast("double"), "elapsed_seconds": F.lit(20.0), "started_at": F.lit(None).cast("timestamp_ntz")})
+    got = {r.run_id: (r.eta_seconds, r.estimated_finish_at is not None) for r in R.with_estimates(df, F.lit(NOON).cast("timestamp_ntz")).collect()}
+    assert got == {"a": (7.0, True), "b": (3.0, True), "c": (-1.0, False), "d": (20.0, True), "e": (20.0, True)}
+
+
+def test_what_updates_take_over(spark):
+    rows_ = [
+        ("a", 1, at(0), at(0), "ndc", "s1", "low", 1.0), ("a", 2, at(1), at(5), "", "unknown", "", 2.0), ("a", 3, at(2), at(9), "unknown", None, "unknown", 3.0),
+        ("b", 1, at(0), at(0), "ndc", "s1", "low", 1.0), ("b", 2, at(1), None, "label", "s2", None, None),  # neither a start nor counts: begins anew
+    ]
+    df = spark.createDataFrame(rows_, "run_id string, seq int, updated_at timestamp_ntz, started_at timestamp_ntz, importer string, source string, confidence string, done double").withColumn("total", F.lit(9.0))
+    got = rows(R.latest_progress(df, F.lit(at(3)).cast("timestamp_ntz")).select("run_id", "started_at", "importer", "source", "confidence"))
+    assert got == [("a", at(0), "ndc", "import-live-progress", "low"), ("b", None, "label", "s2", "live")]
+
+
 def test_latest_progress(spark):
     rows_ = [("a", 1, at(0), at(0), "ndc", 1.0), ("a", 2, at(60), at(5), "unknown", 2.0), ("b", 1, at(-200), None, "label", 1.0)]
     df = spark.createDataFrame(rows_, "run_id string, seq int, updated_at timestamp_ntz, started_at timestamp_ntz, importer string, done double")
@@ -120,7 +137,7 @@ def test_hygiene(spark):
     assert rows(hygiene.scan_texts(docs, "id", "text")) == [("agentic-development-reference", 1), ("database-url-with-password", 5), ("openai-token", 2), ("password-assignment", 1)]
     assert hygiene.scan_texts(docs, "id", "text", skip=spark.createDataFrame([(1,), (2,)], "id int")).count() == 1
     paths = spark.createDataFrame([("a/.codex/AGENTS.md",), ("b/agents.md",), (None,)], "path string")
-    assert rows(hygiene.scan_paths(paths, "path").select("problem")) == [("forbidden file name",), ("forbidden path component",)]
+    assert rows(hygiene.scan_paths(paths, "path").select("problem")) == [("forbidden instruction file",), ("forbidden path component",)]
 
 
 def test_negative_limits_are_refused():
