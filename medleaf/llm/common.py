@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any, TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: A word: a run of anything but the ASCII white space characters 0x20 and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-shared-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir()
@@ -47,6 +53,23 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_memory: dict[str, Any] = {}
+
+
+def remembered(owner: str, make: Callable[[], T]) -> T:
+    """What a worker keeps between the tasks of one operator's run; what it kept for another run is forgotten, since
+    workers outlive operators.
+    """
+    if owner not in _memory:
+        _memory.clear()
+        _memory[owner] = make()
+    return _memory[owner]
+
+
+def forget() -> None:
+    _memory.clear()
+
+
 def utf8(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     col = batch.column(name)

@@ -9,16 +9,18 @@ Counts are exact and cover all training texts:
 
 1. Word counts are a distributed aggregate. The most frequent words (DICTIONARY of them at most) are sent to all tasks.
    Bucket 0, which mixes the last two estimates only, is for contexts that no training text holds.
-2. Pairs of two words of a small hot set are counted with the words, in a dense matrix, since they occur everywhere.
-   The hot set comes from a few texts; which words it holds changes no result.
-3. Other pairs are sent, sorted and packed, to partitions by their hash (by the second word's hash if it is not in the
-   dictionary). There they are counted, and each document's share of the score is summed per partition.
+2. Pairs are sent, sorted and packed, to partitions by their hash (by the second word's hash if it is not in the
+   dictionary), document by document, and counted there. Pairs of the HOT most frequent words are added up by blocks of
+   documents first and go without them, so that no pair that is sent by document occurs more often than the word after.
+3. Each document's share of the score is summed per partition, and sent on only where it has one.
 4. What needs no counts of rare pairs is scored where the text lies; the parts of a document are added up.
 5. If training words are left outside the dictionary, pairs behind them are scored as behind an unseen context first. Their
    counts are then taken by joins on the hashes of both words, and what they add to a document's score is added.
 
 Rows alike in id and text are scored as one and returned as often as they stand there. A null id is in the training part or
-not by crc32 of the empty text; null texts are empty.
+not by crc32 of the empty text; null texts are empty. An empty table gives an empty table. A text of any length is read
+whole, by one task. Columns other than doc_id and text are not looked at, so that none can clash. Ties of words in
+frequency are broken by their hashes; they change where a pair is counted, not what is counted.
 """
 
 from __future__ import annotations
@@ -36,12 +38,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import fold, lower_words, stored, table, utf8
+from medleaf.llm.common import fold, forget, lower_words, remembered, stored, table, utf8
 
 DICTIONARY, HOT, FLUSH, DOC_BITS, REMEMBERED = 1 << 20, 512, 1_000_000, 14, 300_000
 NONE = 0xFFFFFFFF
 RECORD = np.dtype([("h", "<u8"), ("r", "<u4")])
-LEVELS = 128
+LEVELS = 256
 
 
 def hash_of(words: list[bytes]) -> np.ndarray:
@@ -109,16 +111,9 @@ def in_pieces(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[tuple[lis
         yield rows, texts
 
 
-_tables: dict[str, Words] = {}
-
-
 def words_of(shared: Broadcast) -> Words:
     """The worker's own table for a broadcast (hashes, ranks, ..., name)."""
-    name = shared.value[-1]
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = Words(*shared.value[:2])
-    return _tables[name]
+    return remembered(shared.value[-1], lambda: Words(*shared.value[:2]))
 
 
 def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -195,60 +190,73 @@ def spread(h: np.ndarray, parts: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
 
 
-def hot_words(docs: DataFrame, texts: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ranks) of the end token and the words most frequent in a few texts."""
-    none = Words(np.zeros(0, np.uint64), np.zeros(0, np.uint32))
-    found = [none.tokens([bytes(r[0])])[0] for r in docs.filter("train").select(F.encode(F.substring("text", 1, 4000), "UTF-8")).limit(texts).collect()]
-    h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.array([END], np.uint64), np.ones(1, int))
-    n = np.where(h == END, n.max() + 1, n)
-    if END not in h:
-        h, n = np.append(h, np.uint64(END)), np.append(n, n.max() + 1)
-    top = h[np.argsort(-n, kind="stable")][:HOT]
-    order = np.argsort(top)
-    return top[order], order.astype(np.uint32)
-
-
-def count_words(docs: DataFrame, hot: Broadcast) -> DataFrame:
-    """(kind, key, n): kind 0, tokens by hash; kind 1, pairs of hot words. Training rows only."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """(key, n): tokens of the training rows, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = words_of(hot), int(hot.value[1][np.searchsorted(hot.value[0], np.uint64(END))])
-        dense = np.zeros(HOT * HOT, np.int64)
+        words = Words(np.zeros(0, np.uint64), np.zeros(0, np.uint32))
         keys, counts, held = [], [], 0
         for batch in batches:
             for _, texts in in_pieces(batch):
-                h, r, before, _ = words.tokens(texts, end)
-                k, n = np.unique(h, return_counts=True)
+                k, n = np.unique(words.tokens(texts)[0], return_counts=True)
                 keys.append(k)
                 counts.append(n.astype(np.int64))
-                both = (r < HOT) & (before < HOT)
-                dense += np.bincount(before[both].astype(np.int64) * HOT + r[both], minlength=HOT * HOT)
                 held += len(k)
             if held > FLUSH:
                 k, n = added(keys, counts)
                 keys, counts, held = [k], [n], 0 if len(k) < FLUSH else len(k) - FLUSH
         if keys:
             k, n = added(keys, counts)
-            at = np.flatnonzero(dense)
-            for kind, key, count in ((0, k.view(np.int64), n), (1, at, dense[at])):
-                for some in range(0, len(key), 200_000):
-                    one = slice(some, some + 200_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key[one]), kind, np.int32)), pa.array(key[one]), pa.array(count[one])], names=["kind", "key", "n"])
+            for some in range(0, len(k), 200_000):
+                one = slice(some, some + 200_000)
+                yield pa.RecordBatch.from_arrays([pa.array(k[one].view(np.int64)), pa.array(n[one])], names=["key", "n"])
+
+    return docs.filter("train").select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
-    return docs.filter("train").select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+def frequent_words(single: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts), by falling count, of the end token and the most frequent words, `most` at most: as many whole
+    eighths of octaves of counts as fit.
+    """
+    octave = F.floor(F.log2("n") * 8)
+    steps = single.groupBy(octave.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect()  # some hundreds at most
+    least, fit = None, 1
+    for step, words in steps:
+        fit += words
+        if fit > most:
+            break
+        least = step
+    wanted = F.col("key") == F.lit(END - (1 << 64) if END >= 1 << 63 else END)
+    found = single.filter(wanted if least is None else wanted | (octave >= least)).select("key", "n").toArrow()
+    hashes, n = found.column("key").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    if END not in hashes:
+        hashes, n = np.append(hashes, np.uint64(END)), np.append(n, 0)
+    order = np.lexsort((hashes, -n))
+    return hashes[order], n[order]
+
+
+PACKED = "p int, block long, trained int, keys binary, counts binary, tail_words binary, tail_pairs binary, hot binary, hot_counts binary, uids binary"
 
 
 def scatter(docs: DataFrame, known: Broadcast, end: int, parts: int) -> DataFrame:
-    """Pairs that are not both hot, sorted and packed by partition: (p, block, train, keys, counts, tail_words,
-    tail_pairs, uids). A block is some documents of one task; its ids come once, in a row with a negative p.
+    """Pairs sorted and packed by partition, rows of PACKED. A block is some documents of one task, the `trained` training
+    ones first; its ids come once, in a row with a negative p.
     """
+    names = [c.split()[0] for c in PACKED.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 7
 
     def pack(block: int, uids: list[int], train: list[bool], tokens: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, r, before = (np.concatenate([t[k] for t in tokens]) for k in range(3))
         ends = np.cumsum([0] + [t[4] for t in tokens])
-        doc = np.concatenate([t[3] + at for t, at in zip(tokens, ends, strict=False)]).astype(np.uint64)
-        use = np.array(train, np.uint8).tobytes()
-        first = (r != NONE) & (before != NONE) & ~((r < HOT) & (before < HOT))
+        use = np.array(train, bool)
+        first_trained = np.argsort(~use, kind="stable")
+        number = np.empty(len(use), np.uint64)
+        number[first_trained] = np.arange(len(use), dtype=np.uint64)
+        doc = np.concatenate([t[3] + at for t, at in zip(tokens, ends, strict=False)])
+        hot = (r < HOT) & (before < HOT)
+        hot_pairs, hot_n = np.unique(before[hot & use[doc]].astype(np.uint64) * np.uint64(HOT) + r[hot & use[doc]], return_counts=True)
+        doc = number[doc]
+        first = (r != NONE) & (before != NONE) & ~hot
         packed, m = np.unique((((before[first].astype(np.uint64) << np.uint64(20)) | r[first]) << np.uint64(DOC_BITS)) | doc[first], return_counts=True)
         p = spread(packed >> np.uint64(DOC_BITS), parts)
         by = np.argsort(p.astype(np.uint16) if parts < 65536 else p, kind="stable")
@@ -258,13 +266,17 @@ def scatter(docs: DataFrame, known: Broadcast, end: int, parts: int) -> DataFram
         q = spread(words, parts)
         by = np.lexsort((pair, words, q))
         words, pair, tail_starts = words[by], pair[by], np.searchsorted(q[by], np.arange(parts + 1))
-        out = [(-1 - block % parts, block, b"", b"", b"", b"", b"", np.array(uids, np.int64).tobytes())]
+        o = spread(hot_pairs, parts)
+        by = np.argsort(o, kind="stable")
+        hot_pairs, hot_n, hot_starts = hot_pairs[by], hot_n[by], np.searchsorted(o[by], np.arange(parts + 1))
+        trained = int(use.sum())
+        out = [(-1 - block % parts, block, trained, *[b""] * 6, np.array(uids, np.int64)[first_trained].tobytes())]
         for k in range(parts):
-            a, b, c, d = starts[k], starts[k + 1], tail_starts[k], tail_starts[k + 1]
-            if a < b or c < d:
-                out.append((k, block, use, planes(packed[a:b], 7), planes(m[a:b], 4), planes(words[c:d], 8), planes(pair[c:d], 6), b""))
+            a, b, c, d, e, f = starts[k], starts[k + 1], tail_starts[k], tail_starts[k + 1], hot_starts[k], hot_starts[k + 1]
+            if a < b or c < d or e < f:
+                out.append((k, block, trained, planes(packed[a:b], 7), planes(m[a:b], 4), planes(words[c:d], 8), planes(pair[c:d], 6), planes(hot_pairs[e:f], 4), planes(hot_n[e:f], 4), b""))
         for k in range(0, len(out), 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 16], strict=True), [pa.int32(), pa.int64()] + [pa.binary()] * 6, strict=True)], names=["p", "block", "train", "keys", "counts", "tail_words", "tail_pairs", "uids"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 16], strict=True), kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -286,66 +298,69 @@ def scatter(docs: DataFrame, known: Broadcast, end: int, parts: int) -> DataFram
         if uids:
             yield from pack(block, uids, train, tokens)
 
-    return docs.select("uid", "train", "text").mapInArrow(run, "p int, block long, train binary, keys binary, counts binary, tail_words binary, tail_pairs binary, uids binary")
+    return docs.select("uid", "train", "text").mapInArrow(run, PACKED)
 
 
-MERGED = "p int, blocks binary, sizes binary, uids binary, c2 binary, ch binary, c1 binary, runs binary, known_keys long, docs binary, m binary"
+MERGED = "p int, blocks binary, sizes binary, uids binary, c2 binary, ch binary, c1 binary, runs binary, known_keys long, docs binary, m binary, hot binary, hot_counts binary"
 
 
 #: Bytes of the numbers of each column, which are compressed by byte planes.
-WIDTHS = {"c2": 6, "ch": 6, "c1": 6, "runs": 4, "docs": 4, "m": 4}
+WIDTHS = {"c2": 6, "ch": 6, "c1": 6, "runs": 4, "docs": 6, "m": 4}
 
 
-def merge(parts: DataFrame, known: Broadcast) -> DataFrame:
-    """Counts of the pairs of each partition, and the documents that hold them."""
+def merge(rows: DataFrame, known: Broadcast, parts: int) -> DataFrame:
+    """Counts of the pairs of each partition, and the documents that hold them: docs are the place of a block among the
+    partition's blocks, then DOC_BITS for the document in it.
+    """
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _tables.clear()  # words are not looked up here: room for the counts
+        forget()  # words are not looked up here: room for the counts
         names, none = [c.split()[0] for c in MERGED.split(", ")], [b""] * 4
         blocks = rows["block"].to_numpy(np.int64)
         if key[0] < 0:
             sizes = np.array([len(u) // 8 for u in rows["uids"]], np.int64)
-            return pd.DataFrame([(key[0], blocks.tobytes(), sizes.tobytes(), b"".join(rows["uids"]), *none, 0, b"", b"")], columns=names)
+            return pd.DataFrame([(key[0], blocks.tobytes(), sizes.tobytes(), b"".join(rows["uids"]), *none, 0, *none)], columns=names)
         counts = known.value[2]
-        docs, keys, m, words, tail_docs, contexts, train = [], [], [], [], [], [], []
-        at = 0
+        docs, keys, m, words, tail_docs, contexts, hot, hot_n = ([] for _ in range(8))
+        use, tail_use = [], []
         low = np.uint64((1 << DOC_BITS) - 1)
-        for r in rows.itertuples():
-            packed, pair = unplanes(r.keys, 7), unplanes(r.tail_pairs, 6)
-            train.append(np.frombuffer(r.train, np.uint8))
+        for at, r in enumerate(rows.itertuples()):
+            packed, pair, at = unplanes(r.keys, 7), unplanes(r.tail_pairs, 6), np.uint64(at << DOC_BITS)
             keys.append(packed >> np.uint64(DOC_BITS))
-            docs.append((packed & low).astype(np.uint32) + np.uint32(at))
+            docs.append((packed & low) + at)
+            use.append((packed & low) < r.trained)
             m.append(unplanes(r.counts, 4).astype(np.uint32))
             words.append(unplanes(r.tail_words, 8))
             contexts.append(pair >> np.uint64(DOC_BITS))
-            tail_docs.append((pair & low).astype(np.uint32) + np.uint32(at))
-            at += len(train[-1])
-        sizes = np.array([len(t) for t in train], np.int64)
-        train = np.concatenate(train).astype(np.int64)
-        k, d, m = np.concatenate(keys), np.concatenate(docs), np.concatenate(m)
+            tail_docs.append((pair & low) + at)
+            tail_use.append((pair & low) < r.trained)
+            hot.append(unplanes(r.hot, 4))
+            hot_n.append(unplanes(r.hot_counts, 4).astype(np.int64))
+        k, d, m, u = np.concatenate(keys), np.concatenate(docs), np.concatenate(m), np.concatenate(use)
         order = np.argsort(k, kind="stable")
-        k, d, m = k[order], d[order], m[order]
+        k, d, m, u = k[order], d[order], m[order], u[order]
         first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
-        c2 = np.add.reduceat(m * train[d], first) if len(first) else np.zeros(0, np.int64)
+        c2 = np.add.reduceat(m.astype(np.int64) * u, first) if len(first) else np.zeros(0, np.int64)
         ch, c1 = counts[(k[first] >> np.uint64(20)).astype(np.int64)], counts[(k[first] & np.uint64((1 << 20) - 1)).astype(np.int64)]
         runs = np.diff(np.r_[first, len(k)])
-        w, x, e = np.concatenate(words), np.concatenate(contexts), np.concatenate(tail_docs)
+        w, x, e, v = np.concatenate(words), np.concatenate(contexts), np.concatenate(tail_docs), np.concatenate(tail_use).astype(np.int64)
         order = np.lexsort((x, w))
-        w, x, e = w[order], x[order], e[order]
+        w, x, e, v = w[order], x[order], e[order], v[order]
         if len(w):
             new_word = np.r_[True, w[1:] != w[:-1]]
             start = np.flatnonzero(new_word | np.r_[True, x[1:] != x[:-1]])
-            by_word = np.add.reduceat(train[e], np.flatnonzero(new_word))
+            by_word = np.add.reduceat(v, np.flatnonzero(new_word))
             t1 = by_word[np.cumsum(new_word)[start] - 1]
             outside = x[start] == NONE
-            t2 = np.where(outside, 0, np.add.reduceat(train[e], start))
+            t2 = np.where(outside, 0, np.add.reduceat(v, start))
             th = np.where(outside, 0, counts[np.where(outside, 0, x[start]).astype(np.int64)])
             c2, ch, c1, runs = np.r_[c2, t2], np.r_[ch, th], np.r_[c1, t1], np.r_[runs, np.diff(np.r_[start, len(w)])]
             d, m = np.r_[d, e], np.r_[m, np.ones(len(e), np.uint32)]
         as_bytes = [planes(x, WIDTHS[k]) for k, x in (("c2", c2), ("ch", ch), ("c1", c1), ("runs", runs))]
-        return pd.DataFrame([(key[0], blocks.tobytes(), sizes.tobytes(), b"", *as_bytes, len(first), planes(d, WIDTHS["docs"]), planes(m, WIDTHS["m"]))], columns=names)
+        hot, hot_n = added(hot, hot_n)
+        return pd.DataFrame([(key[0], blocks.tobytes(), b"", b"", *as_bytes, len(first), planes(d, WIDTHS["docs"]), planes(m, WIDTHS["m"]), planes(hot, 4), planes(hot_n, 6))], columns=names)
 
-    return parts.groupBy("p").applyInPandas(one, MERGED)
+    return rows.repartition(parts, "p").groupBy("p").applyInPandas(one, MERGED)
 
 
 def read_counts(batch: pa.RecordBatch, names: tuple[str, ...] = ("c2", "ch", "c1")) -> Iterator[list[np.ndarray]]:
@@ -392,48 +407,26 @@ def rare_pairs(rows: DataFrame, single: DataFrame) -> DataFrame:
     return pairs.filter("c1 is not null").select(names).union(outside.select(names))
 
 
-def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
-    """Scores of every row of docs (doc_id, text); the columns of op4."""
-    spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
+def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY, learned: dict | None = None) -> DataFrame:
+    """Scores of every row of docs (doc_id, text); the columns of op4. A dict given as learned gets the weights by bucket."""
+    sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), (fold("doc_id") != 1).alias("train"))
     docs = docs.withColumn("uid", F.xxhash64("doc_id", "text"))
-    hot = sc.broadcast((*hot_words(docs), uuid.uuid4().hex))
-    counts = stored(count_words(docs, hot), "counts")
-    single = counts.filter("kind = 0")
+    single = stored(count_words(docs), "counts")
     total, vocabulary = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # the least count whose words, with all more frequent ones, fit the dictionary
-    steps = single.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
-    least, fit = 100_001, HOT
-    for n, words in steps:
-        fit += words
-        if fit > dictionary:
-            break
-        least = n
-    hot_hashes, hot_ranks, _ = hot.value
-    frequent = single.filter((F.col("n") >= least) | F.col("key").isin([int(h) for h in hot_hashes.view(np.int64)])).select("key", "n").toArrow()
-    hashes, n = frequent.column("key").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
-    absent = np.setdiff1d(hot_hashes, hashes)
-    hashes, n = np.r_[hashes, absent], np.r_[n, np.zeros(len(absent), np.int64)]
+    hashes, by_rank = frequent_words(single, dictionary)
     order = np.argsort(hashes)
-    hashes, n = hashes[order], n[order]
-    at = np.searchsorted(hashes, hot_hashes)
-    ranks = np.full(len(hashes), NONE, np.uint32)
-    ranks[at] = hot_ranks
-    others = np.flatnonzero(ranks == NONE)
-    ranks[others] = np.arange(len(others), dtype=np.uint32) + len(hot_hashes)
-    by_rank = np.zeros(len(hashes), np.int64)
-    by_rank[ranks] = n
-    pairs = counts.filter("kind = 1").select("key", "n").toArrow()
-    dense = np.zeros(HOT * HOT, np.int64)
-    dense[pairs.column("key").to_numpy()] = pairs.column("n").to_numpy()
-    known = sc.broadcast((hashes, ranks, by_rank, dense, uuid.uuid4().hex))
-    end = int(ranks[np.searchsorted(hashes, np.uint64(END))])
+    known = sc.broadcast((hashes[order], order.astype(np.uint32), by_rank, uuid.uuid4().hex))
+    end = int(np.flatnonzero(hashes == np.uint64(END))[0])
 
     parts = max(32, -(-total * 5 // 4 // 1_500_000))
-    merged = stored(merge(scatter(docs, known, end, parts), known), "merged")
+    merged = stored(merge(scatter(docs, known, end, parts), known, parts), "merged")
+    dense = np.zeros(HOT * HOT, np.int64)
+    for keys, n in merged.filter("p >= 0").select("hot", "hot_counts").collect():  # HOT * HOT pairs at most
+        dense[unplanes(keys, 4).astype(np.int64)] = unplanes(n, 6).astype(np.int64)
 
     def deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _tables.clear()
+        forget()
         for batch in batches:
             for c2, ch, c1 in read_counts(batch):
                 real = (c2 > 0) & (ch > 0)
@@ -464,51 +457,70 @@ def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
         cells.append(deleted(np.zeros(1), np.zeros(1), np.array([c]), total))
         weights.append(np.array([c * words]))
     lam = learn(np.concatenate(cells), np.concatenate(weights), vocabulary)
+    if learned is not None:
+        learned.update(weights=lam, total=int(total), vocabulary=int(vocabulary))
     denominator = total + 0.5 * (vocabulary + 1)
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of the documents of every block over the pairs of a partition, in the order of the block's ids."""
-        _tables.clear()
+        """Sums of a partition's pairs over each document that holds some, by block."""
+        forget()
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("p", "blocks", "sizes", "uids", "known_keys")]
             for (c2, ch, c1, runs, where, m), p, blocks, sizes, uids, first in zip(read_counts(batch, tuple(WIDTHS)), *columns, strict=True):
-                blocks, sizes = np.frombuffer(blocks, np.int64), np.frombuffer(sizes, np.int64)
-                ends = np.cumsum(sizes)
+                blocks = np.frombuffer(blocks, np.int64)
                 if p < 0:
+                    sizes = np.frombuffer(sizes, np.int64)
+                    ends = np.cumsum(sizes)
                     cut = [uids[8 * (e - n) : 8 * e] for e, n in zip(ends, sizes, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(cut, pa.binary()), pa.array([b""] * len(cut), pa.binary())], names=["block", "uids", "sums"])
+                    yield made_sums(blocks, cut, [b""] * len(cut), [b""] * len(cut))
                     continue
-                size = int(ends[-1])
-                score = np.bincount(where, m * np.repeat(np.log10(probability(c2, ch, c1, total, vocabulary, lam)), runs), size)
-                tail = where[int(runs[:first].sum()) :]  # base scores of words in the dictionary are taken with the text
-                base = np.bincount(tail, np.repeat(np.log10((c1[first:] + 0.5) / denominator), runs[first:]), size)
-                seen = np.bincount(tail, np.repeat((c1[first:] > 0).astype(float), runs[first:]), size)
-                sums = np.stack([seen, base, score], 1)
-                cut = [sums[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array([b""] * len(cut), pa.binary()), pa.array(cut, pa.binary())], names=["block", "uids", "sums"])
+                n = int(runs[:first].sum())
+                score = m * np.repeat(np.log10(probability(c2, ch, c1, total, vocabulary, lam)), runs)
+                # base scores of words in the dictionary are taken with the text
+                base, seen = np.repeat(np.log10((c1[first:] + 0.5) / denominator), runs[first:]), np.repeat((c1[first:] > 0).astype(float), runs[first:])
+                for at, values in ((where[:n], [score[:n]]), (where[n:], [score[n:], base, seen])):
+                    order = np.argsort(at, kind="stable")
+                    at = at[order]
+                    if not len(at):
+                        continue
+                    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                    docs_at, sums = at[starts], [np.add.reduceat(v[order], starts) for v in values]
+                    mine = docs_at >> DOC_BITS
+                    cuts = np.searchsorted(mine, np.arange(len(blocks) + 1))
+                    some = np.flatnonzero(cuts[1:] > cuts[:-1])
+                    ids = [(docs_at[cuts[k] : cuts[k + 1]] & ((1 << DOC_BITS) - 1)).astype("<u2").tobytes() for k in some]
+                    yield made_sums(blocks[some], [b""] * len(some), ids, [b"".join(s[cuts[k] : cuts[k + 1]].tobytes() for s in sums) for k in some])
+
+    def made_sums(blocks: np.ndarray, uids: list[bytes], ids: list[bytes], sums: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(blocks), *(pa.array(c, pa.binary()) for c in (uids, ids, sums))], names=["block", "uids", "ids", "sums"])
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Adds up the sums of a block, whose rows follow each other."""
-        at, uids, sums = None, None, None
+        at, uids, sums = None, None, np.zeros((3, 1 << DOC_BITS))
         for batch in batches:
-            for block, u, part in zip(batch.column("block").to_pylist(), batch.column("uids").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("block", "uids", "ids", "sums")]
+            for block, u, ids, part in zip(*columns, strict=True):
                 if block != at:
                     if at is not None:
                         yield made(uids, sums)
-                    at, uids, sums = block, None, 0
+                    at, uids, sums = block, None, np.zeros((3, 1 << DOC_BITS))
                 if u:
                     uids = np.frombuffer(u, np.int64)
-                else:
-                    sums = sums + np.frombuffer(part, np.float64).reshape(-1, 3)
+                else:  # a score alone, or a score, a base score and the words seen; a document stands once in a row
+                    ids = np.frombuffer(ids, "<u2")
+                    values = np.frombuffer(part, np.float64).reshape(-1, len(ids))
+                    sums[: len(values), ids] += values
         if at is not None:
             yield made(uids, sums)
 
-    def made(uids: np.ndarray, sums: np.ndarray | int) -> pa.RecordBatch:
-        sums = np.zeros((len(uids), 3)) if isinstance(sums, int) else sums
-        return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(np.round(sums[:, 0]).astype(np.int64)), pa.array(sums[:, 1].copy()), pa.array(sums[:, 2].copy())], names=["uid", "n_known", "base_score", "score"])
+    def made(uids: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        score, base, seen = sums[:, : len(uids)]
+        return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(np.round(seen).astype(np.int64)), pa.array(base.copy()), pa.array(score.copy())], names=["uid", "n_known", "base_score", "score"])
+
+    hot_pairs = sc.broadcast(dense)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (_, _, by_rank_, dense_, _) = words_of(known), known.value
+        words, by_rank_, dense_ = words_of(known), known.value[2], hot_pairs.value
         base_of = np.log10((by_rank_ + 0.5) / denominator)
         none = np.zeros(len(by_rank_))
         alone_of = np.log10(probability(none, none, by_rank_, total, vocabulary, lam))
@@ -529,8 +541,8 @@ def lm_scores(docs: DataFrame, dictionary: int = DICTIONARY) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*head, *map(pa.array, sums)], names=["uid", "doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 
     local = docs.select("uid", "doc_id", "train", "text").mapInArrow(near, "uid long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double").withColumn("rows", F.lit(1))
-    far = merged.select("p", "blocks", "sizes", "uids", "c2", "ch", "c1", "runs", "known_keys", "docs", "m").mapInArrow(rest, "block long, uids binary, sums binary")
-    far = far.repartition("block").sortWithinPartitions("block").mapInArrow(by_document, "uid long, n_known long, base_score double, score double")
+    far = merged.select("p", "blocks", "sizes", "uids", "c2", "ch", "c1", "runs", "known_keys", "docs", "m").mapInArrow(rest, "block long, uids binary, ids binary, sums binary")
+    far = far.repartition(max(32, int(total) // 4_000_000), "block").sortWithinPartitions("block").mapInArrow(by_document, "uid long, n_known long, base_score double, score double")
     far = far.select("uid", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("train"), F.lit(0).cast("long").alias("n_tokens"), "n_known", "base_score", "score", F.lit(0).alias("rows"))
     if rows is not None:
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import lower_words, stored, table, utf8
+from medleaf.llm.common import lower_words, remembered, stored, table, utf8
 from medleaf.llm.tables import components, tally
 
 BLOCK, FLUSH, POSTS = 2_000_000, 500_000, 700_000
@@ -61,9 +61,6 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -73,7 +70,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: bytes | None) -> np.ndarray:
-    return np.frombuffer(b"".join(map(_hashes.__getitem__, lower_words(text))), "<u8")
+    return np.frombuffer(b"".join(map(remembered("word hashes", _Hashes).__getitem__, lower_words(text))), "<u8")
 
 
 def ngrams(h: np.ndarray, width: int) -> np.ndarray:

@@ -20,10 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import stored, table, utf8
+from medleaf.llm.common import remembered, stored, table, utf8
 
 BLOCK = 8192
-_encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -81,9 +80,7 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return remembered(f"encoder {path}", lambda: WordEncoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

@@ -15,9 +15,11 @@ scored in Arrow batches wherever they lie.
 
 from __future__ import annotations
 
+import copy
 import math
 import re
 import sys
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import fold, table, utf8
+from medleaf.llm.common import fold, remembered, table, utf8
 
 #: Insults, and second-person words of English, German, French and Spanish.
 INSULTS = "clown dirt disgusting dumb fool garbage idiot jerk loser moron pathetic scum stupid trash worthless".split()
@@ -299,12 +301,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6_000, folds: int
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Adds `score` (0 to 1) to every row of docs; null and empty texts get the score of a text without features."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), f"model {uuid.uuid4().hex}"
     names = [c for c in docs.columns if c != "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.score(utf8(batch, "text"))
+            # a copy, whose words seen go when another operator comes
+            found = remembered(name, lambda: copy.deepcopy(shared.value)).score(utf8(batch, "text"))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.float64())], names=[*names, "score"])
 
     kept = docs.select(*[docs[c] for c in names])

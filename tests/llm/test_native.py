@@ -53,23 +53,42 @@ def test_targets(spark, sizes):
 def test_mixing_of_messy_rows(spark):
     docs = messy(spark).withColumn("words", mixing.words_of("text"))
     units = docs.select("doc_id", "source", F.col("words").alias("size"))
-    one, two = ([tuple(r) for r in mixing.mix_counts(u).sort("doc_id", "source", "size").collect()] for u in (units, units.repartition(7)))
+    one, two = ([tuple(r) for r in mixing.mix_copies(u).sort("doc_id", "source", "size", "copies").collect()] for u in (units, units.repartition(7)))
     assert one == two
     taken, source = {}, {}
-    for _, s, size, rows, total, target, copies in one:
+    for _, s, size, total, target, copies in one:
         assert 0 <= copies <= 3
-        taken[s] = taken.get(s, 0) + size * rows * copies
+        taken[s] = taken.get(s, 0) + size * copies
         source[s] = (total, target)
-    largest = max(size * rows for _, _, size, rows, *_ in one)
+    largest = max(size for _, _, size, *_ in one)
     assert {s: t for s, (_, t) in source.items()} == pytest.approx(targets({s: n for s, (n, _) in source.items()}))
-    assert all(abs(taken[s] - source[s][1]) <= largest for s in source)
-    assert sum(r[3] for r in one) == docs.count()
+    assert all(abs(taken[s] - source[s][1]) <= largest / 2 + 1e-6 for s in source)
+    assert len(one) == docs.count()
+
+
+def test_rows_alike_are_rounded_one_by_one(spark):
+    """A unit of many rows takes its fraction to half a row, in counts and in rows."""
+    df = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit("w " * 10).alias("text"))
+    df = df.union(spark.range(300).select(F.col("id"), F.lit("b"), F.lit("x " * 7)))
+    sized = df.select("doc_id", "source", mixing.words_of("text").alias("size"))
+    for rows in (mixing.mix_copies(sized), mixing.mix_rows(df).select("doc_id", "source", mixing.words_of("text").alias("size"), F.lit(1).alias("copies"))):
+        taken = {r.source: r.taken for r in rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken")).collect()}
+        want = targets({"a": 10_000, "b": 2_100})
+        assert abs(taken["a"] - want["a"]) <= 5 and abs(taken["b"] - want["b"]) <= 3.5
+
+
+@pytest.mark.parametrize("sources", [1, 2, 7])
+def test_sources_ranked_by_ranges(spark, monkeypatch, sources):
+    monkeypatch.setattr(mixing, "SOURCES_IN_RANGE", sources)
+    sizes = {f"s{k:02d}": k * k + 1 for k in range(30)} | {None: 50, "": 3, "Z": 9, "é": 8}
+    df = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size long, rows long")
+    assert {r.source: r.target for r in mixing.source_targets(df).collect()} == pytest.approx(targets(sizes))
 
 
 def test_mixing_over_a_tree(spark):
     """One source with many equal documents: several levels, and the words taken are the target to half a document."""
     df = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 8000, "big").otherwise("small").alias("source"), F.lit(10).alias("size"))
-    got = mixing.mix_counts(df).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.countDistinct("copies").alias("kinds")).collect()
+    got = mixing.mix_copies(df).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.countDistinct("copies").alias("kinds")).collect()
     assert all(abs(r.taken - r.target) <= 5 for r in got) and any(r.kinds > 1 for r in got)
 
 
@@ -78,8 +97,9 @@ def test_mixed_rows_keep_their_columns(spark):
     out = mixing.mix_rows(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
     want = {}
-    for r in mixing.mix_counts(docs.select("doc_id", "source", mixing.words_of("text").alias("size"))).collect():
-        want[r.doc_id, r.source, r.size] = r.rows * r.copies
+    marked = docs.select("doc_id", "source", mixing.words_of("text").alias("size"), F.xxhash64("text").alias("mark"))
+    for r in mixing.mix_counts(marked).collect():
+        want[r.doc_id, r.source, r.size] = want.get((r.doc_id, r.source, r.size), 0) + r.rows * r.base + r.extra
     got = {}
     for r in out.select("doc_id", "source", mixing.words_of("text").alias("w")).collect():
         got[r.doc_id, r.source, r.w] = got.get((r.doc_id, r.source, r.w), 0) + 1

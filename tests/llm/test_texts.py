@@ -91,7 +91,9 @@ def test_language_model_against_counting(spark, docs):
     rows = [(k, " ".join(f"w{min(int(x), 400)}" for x in rng.zipf(1.3, rng.integers(0, 80)))) for k in range(200)] + [(None, "w1 w2"), (7, "w1 w2"), (7, "w1 w2"), (500, None), (501, ""), (502, "never seen before")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("train", F.lit("clash"))
     for dictionary in (LM.DICTIONARY, LM.HOT + 30):  # all words in the dictionary; most words outside
-        got = sorted(LM.lm_scores(df, dictionary).collect(), key=repr)
+        learned: dict = {}
+        got = sorted(LM.lm_scores(df, dictionary, learned).collect(), key=repr)
+        lam = learned["weights"]
         assert len(got) == len(rows)
         tokens, train, c1, c2 = plain_model(rows)
         total, vocabulary = sum(c1.values()), len(c1)
@@ -102,8 +104,12 @@ def test_language_model_against_counting(spark, docs):
             r = by[i, len(ts)][0]
             assert r.held_out == (not use) and r.train_tokens == total and r.n_known == sum(c1[t] > 0 for t in ts)
             assert r.base_score == pytest.approx(sum(math.log10((c1[t] + 0.5) / (total + 0.5 * (vocabulary + 1))) for t in ts))
-            assert r.score < 0
-    # the weights of the last run cannot be seen from here: with them in hand, scores are sums of logarithms of mixtures
+            score, before = 0.0, None
+            for t in ts:
+                w = lam[1 + int(math.log2(c1[before])) if c1[before] else 0]
+                score += math.log10(w[0] * c2[before, t] / max(c1[before], 1) + w[1] * c1[t] / total + w[2] / (vocabulary + 1))
+                before = t
+            assert r.score == pytest.approx(score)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 1.2
 
