@@ -71,6 +71,76 @@ def test_resynchronisation():
     assert A.decode(b"")["payload"] == b"" and A.decode(b"not audio \xff\xfb at all")["offsets"] == []
 
 
+def audio_frame(version, rate, hertz, stereo, protected, fill=b"", padding=0):
+    """A silent Layer III frame made by hand; fill lies behind the side information."""
+    bits = {1: 3, 2: 2, 2.5: 0}[version]
+    head = bytes([0xFF, 0xE0 | bits << 3 | 1 << 1 | (not protected), rate << 4 | hertz << 2 | padding << 1, 0x00 if stereo else 0xC0])
+    kbits = (A.RATES if version == 1 else A.LOW_RATES)[rate]
+    hz = {1: (44100, 48000, 32000), 2: (22050, 24000, 16000), 2.5: (11025, 12000, 8000)}[version][hertz]
+    length = (144 if version == 1 else 72) * kbits * 1000 // hz + padding
+    side = {(1, False): 17, (1, True): 32}.get((version, stereo), 17 if stereo else 9)
+    crc = A.crc16(head[2:] + bytes(side)).to_bytes(2, "big") if protected else b""
+    body = head + crc + bytes(side) + fill
+    return body + bytes(length - len(body))
+
+
+@pytest.mark.parametrize("stereo", [False, True])
+@pytest.mark.parametrize("protected", [False, True])
+@pytest.mark.parametrize(("version", "samples", "hz"), [(1, 1152, 44100), (2, 576, 22050), (2.5, 576, 11025)])
+def test_frames_of_every_kind(version, samples, hz, stereo, protected):
+    frames = [audio_frame(version, rate, 0, stereo, protected, b"x" * rate, rate % 2) for rate in (8, 9, 10, 8)]
+    found = A.decode(b"".join(frames))
+    assert found["offsets"] == [sum(map(len, frames[:k])) for k in range(4)] and (found["bad_crc"], found["lost_bytes"], found["hertz"]) == (0, 0, hz)
+    from fractions import Fraction
+
+    assert Fraction(*found["duration"]) == Fraction(4 * samples, hz)
+    again = A.decode(frames[0] + b"\xff\x00 lost" + b"".join(frames[1:]))
+    assert len(again["offsets"]) == 4 and again["lost_bytes"] == 7
+    if protected:
+        broken = bytearray(b"".join(frames))
+        broken[len(frames[0]) + 8] ^= 4
+        assert A.decode(bytes(broken))["bad_crc"] == 1
+
+
+@pytest.mark.parametrize("stereo", [False, True])
+def test_tables_of_both_kinds(stereo):
+    audio = [audio_frame(1, 9, 0, stereo, False) for _ in range(5)]
+    size = len(audio[0]) * 6
+    xing = audio_frame(1, 9, 0, stereo, False, b"Xing" + (3).to_bytes(4, "big") + (5).to_bytes(4, "big") + size.to_bytes(4, "big"))
+    found = A.decode(xing + b"".join(audio))
+    assert (found["vbr"]["kind"], found["vbr"]["frames"], found["vbr"]["bytes"], found["table_agrees"], len(found["offsets"])) == ("Xing", 5, size, True, 5)
+    assert A.decode(xing + b"".join(audio[1:]))["table_agrees"] is False
+    bare = audio_frame(1, 9, 0, stereo, False, b"Info" + (0).to_bytes(4, "big"))
+    assert A.decode(bare + b"".join(audio))["table_agrees"] is True
+    vbri = bytearray(audio_frame(1, 9, 0, stereo, False))
+    vbri[36 : 36 + 30] = b"VBRI" + bytes(6) + size.to_bytes(4, "big") + (5).to_bytes(4, "big") + b"\0\2\0\3\0\2\0\1" + b"\0\7\1\0"
+    found = A.decode(bytes(vbri) + b"".join(audio))
+    assert (found["vbr"]["kind"], found["vbr"]["toc"], found["table_agrees"]) == ("VBRI", [21, 768], True)
+
+
+def test_tags_of_every_version():
+    audio = audio_frame(1, 9, 0, True, True)
+    long = "v" * 300
+    raw = b"\x00key\x00" + long.encode()
+
+    def tag(version, body, flags=0):
+        return b"ID3" + bytes([version, 0, flags]) + A.synchsafe(len(body)) + body
+
+    frames = {
+        2: b"TXX" + len(raw).to_bytes(3, "big") + raw, 3: b"TXXX" + len(raw).to_bytes(4, "big") + b"\0\0" + raw, 4: b"TXXX" + A.synchsafe(len(raw)) + b"\0\0" + raw,
+    }
+    for version, body in frames.items():
+        data = tag(version, body + bytes(20)) + audio
+        found = A.decode(data)
+        assert found["fields"]["key"] == long and found["offsets"] == [len(data) - len(audio)] and found["lost_bytes"] == 0
+    wide = b"\x01" + "k\0\u20acx".encode("utf-16")
+    assert A.decode(tag(3, b"TXXX" + len(wide).to_bytes(4, "big") + b"\0\0" + wide + b"TIT2\0\0\0\3\0\0\0ab") + audio)["fields"] == {"k": "\u20acx", "TIT2": "ab"}
+    split = b"\x00key\x00\xff\x00\xe0"  # as it stands in an unsynchronised tag
+    assert A.decode(tag(3, b"TXXX" + (len(split) - 1).to_bytes(4, "big") + b"\0\0" + split, 0x80) + audio)["fields"] == {"key": "\xff\xe0"}
+    assert A.decode(tag(4, b"TXXX" + A.synchsafe(len(split)) + b"\0\2" + split) + audio)["fields"] == {"key": "\xff\xe0"}
+    assert A.decode(tag(3, b"\0\0\0\6" + bytes(6) + frames[3], 0x40) + audio)["fields"] == {"key": long}
+
+
 # --- language model
 
 
