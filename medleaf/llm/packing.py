@@ -4,7 +4,14 @@ A bin has three capacities: tokens, documents and attention cost (the sum of squ
 open bin that can take it under every one of them and that scores best: the smallest weighted norm of what is left
 (`norm`), or the largest weighted dot product of the piece and what is left (`dot`). Pieces are taken in order of
 falling length, in blocks of bounded size; the pieces of bins that a block leaves poorly filled are packed again with
-those of other blocks.
+those of other blocks. A piece that exceeds the cost capacity by itself has a bin of its own.
+
+The defaults bind: a bin takes MOST_DOCS documents at most and a cost of SHARE of what one full piece costs, so that
+neither crowds of tiny documents nor one nearly full piece with a scrap behind it share a sequence.
+
+Nulls and empty texts are the end token alone, texts of any length are cut whole, rows that repeat are packed as often,
+ties in length go by id and piece, an empty table gives an empty table; columns other than doc_id and text are not
+looked at, so that none can clash.
 """
 
 from __future__ import annotations
@@ -23,13 +30,15 @@ from pyspark.sql import functions as F
 from medleaf.llm.common import remembered, stored, table, utf8
 
 BLOCK = 8192
+MOST_DOCS, SHARE = 48, 0.96
 
 
 class WordEncoder:
     """Token ids of white-space-free words, as little-endian 32-bit bytes, remembered in two generations of bounded size.
 
     The tokenizer lower-cases and never joins across white space, so the ids of a text are those of its words in turn. A
-    mark after a letter is a token of its own, so that a word with a comma needs no more than the word and the comma.
+    mark after a letter is a token of its own, so that a word with a comma needs no more than the word and the comma. A text
+    that spells a special token goes to the tokenizer whole, as it makes that one token.
     """
 
     MARKS = frozenset(b".,;:!?")
@@ -39,15 +48,20 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.young, self.old = keep, {}, {}
 
     def encode(self, words: list[bytes]) -> None:
+        self.tokenizer.encode_special_tokens = True  # lower-casing may spell one that the text has not
         for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
             ids = e.ids
             self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: bytes | None) -> bytes:
+        if text and any(t in text for t in self.special):
+            self.tokenizer.encode_special_tokens = False
+            ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         words = (text or b"").lower().split()
         young = self.young
         try:
@@ -164,13 +178,13 @@ def _pack_blocks(rows: DataFrame, first: int, capacity: int, max_docs: int, max_
     return rows.withColumn("block", F.pmod(F.xxhash64("salt"), F.lit(blocks))).groupBy("block").applyInPandas(pack, PACKED)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, max_docs: int = 1024, max_cost: int | None = None, rule: str = "norm", again_below: float = 0.98) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, max_docs: int = MOST_DOCS, max_cost: int | None = None, rule: str = "norm", again_below: float = 0.98) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row of docs.
 
     Offsets are gapless from 0 within a sequence. Rows that repeat are packed as often as they stand there; an empty
-    table gives an empty table; columns other than doc_id and text are not looked at. max_cost None: capacity squared.
+    table gives an empty table; columns other than doc_id and text are not looked at. max_cost None: SHARE of capacity squared.
     """
-    cost = capacity * capacity if max_cost is None else max_cost
+    cost = int(SHARE * capacity * capacity) if max_cost is None else max_cost
     cut = stored(pieces(docs, tokenizer_path, capacity), "pieces")
     first = stored(_pack_blocks(cut, 0, capacity, max_docs, cost, rule), "packed")
     good = F.col("fill") >= int(again_below * capacity)

@@ -168,12 +168,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def test_ids_are_the_tokenizers(spark):
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     enc = packing.WordEncoder(PATH, keep=50)
     rng = np.random.default_rng(4)
     letters = list("aB.,'s;:!?é İßſΣς́\xa0\x0b\x1c\x85 中1２<|>dt")
     for _ in range(1500):
-        text = "".join(rng.choice(letters, rng.integers(0, 14)))
+        text = "".join(rng.choice(letters, rng.integers(0, 14))) + str(rng.choice(["", "", "<|endoftext|>", "<|EndOfText|>", "a<|endoftext|>b C"]))
         assert enc.ids(text.encode()) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
@@ -200,6 +199,56 @@ def test_few_sequences(spark):
     assert out[1] <= 1.01 * out[0] / 2048 + 2
 
 
+def plain_best_fit(lengths, capacity, max_docs, max_cost, rule):
+    """One piece and one bin at a time."""
+    size, weights, bins, of = (capacity, max_docs, max_cost), (1.0, 0.05, 0.05), [], {}
+    for i in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
+        need, best = (lengths[i], 1, lengths[i] ** 2), None
+        for b, left in enumerate(bins):
+            rest = [x - y for x, y in zip(left, need, strict=True)]
+            if min(rest) < 0:
+                continue
+            if rule == "norm":
+                score = sum(w * (r / c) ** 2 for w, r, c in zip(weights, rest, size, strict=True))
+            else:
+                score = -sum(w * (x / c) * (y / c) for w, x, y, c in zip(weights, left, need, size, strict=True))
+            if best is None or score < best[0] - 1e-12:
+                best = (score, b)
+        if best is None:
+            bins.append(list(size))
+            best = (0, len(bins) - 1)
+        of[i] = best[1]
+        bins[best[1]] = [x - y for x, y in zip(bins[best[1]], need, strict=True)]
+    return of, bins
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_best_fit_against_one_by_one(rule):
+    """As many bins, as full, as by looking at every bin; equal scores may go to either."""
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        lengths = rng.integers(1, 100, rng.integers(1, 60))
+        limits = (100, int(rng.integers(2, 9)), int(rng.integers(2000, 10_000)))
+        bins, offsets = packing.best_fit(lengths, *limits, rule=rule)
+        of, _ = plain_best_fit(lengths.tolist(), *limits, rule)
+        assert sorted(np.bincount(bins, lengths)) == sorted(np.bincount([of[i] for i in range(len(lengths))], lengths))
+        for b in set(bins):
+            mine = np.flatnonzero(bins == b)
+            assert lengths[mine].sum() <= 100 and len(mine) <= limits[1] and ((lengths[mine] ** 2).sum() <= limits[2] or len(mine) == 1)
+
+
+def test_every_capacity_of_the_defaults_decides():
+    """Lifting one of them changes who lies with whom."""
+    rng = np.random.default_rng(8)
+    lengths = np.r_[rng.integers(1, 20, 600), rng.integers(300, 2048, 200), rng.integers(2010, 2040, 20)]
+    cost = int(packing.SHARE * 2048**2)
+    base, _ = packing.best_fit(lengths, 2048, packing.MOST_DOCS, cost)
+    for limits in ((4096, packing.MOST_DOCS, cost), (2048, 10_000, cost), (2048, packing.MOST_DOCS, 2048**2)):
+        other, _ = packing.best_fit(lengths, *limits)
+        assert {tuple(np.flatnonzero(base == b)) for b in set(base)} != {tuple(np.flatnonzero(other == b)) for b in set(other)}
+    assert np.bincount(base).max() == packing.MOST_DOCS
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), PATH).count() == 0
 
