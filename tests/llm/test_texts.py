@@ -141,6 +141,29 @@ def test_tags_of_every_version():
     assert A.decode(tag(3, b"\0\0\0\6" + bytes(6) + frames[3], 0x40) + audio)["fields"] == {"key": long}
 
 
+LONG = "This is a long paragraph of the main text with a good many words in it, so that sums rise. " * 2
+PARA, LINE = f"<p>{LONG}</p>", LONG.strip()
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    (f"<article><h2 class='related'>Related work</h2>{PARA}<h2 id='share-prices'>Share prices</h2>{PARA}</article>", ["Related work", LINE, "Share prices", LINE]),
+    (f"<article>{PARA}<p class='ad'>Buy now<p>{LONG}<p>{LONG}</article>", [LINE, LINE, LINE]),
+    (f"<div>{PARA}<p class='ad'>Buy now<p>{LONG}<p>{LONG}</div>", [LINE, LINE, LINE]),
+    (f"<article>{PARA}<p class='ad'>Buy now</article><p>short", [LINE]),
+    (f"<div><article>{PARA}<div class='ad'>Buy now</article></div><article>{PARA}</article>", [LINE, LINE]),
+    (f"<article><p>{LONG} the <label>name</label> of it</p></article>", [LINE + " the name of it"]),
+    (f"<head><title>x</title><article>{PARA}</article>", [LINE]),
+    (f"<article><p>if a<b then c>d {LONG}</p></article>", ["if a<b then c>d " + LINE]),
+    (f"<div>{PARA}{PARA}<div class='ad'>Buy</div><p>The end.</p></div><footer>f</footer>", [LINE, LINE, "The end."]),
+    (f"<div>{PARA}<ul><li>one</li><li><a href='x'>A linked item</a></li><li>three</li></ul>{PARA}</div>", [LINE, "one", "A linked item", "three", LINE]),
+    (f"<div>{PARA}<ul><li><a href='x'>Home</a></li><li><a href='y'>News</a></li></ul></div>", [LINE]),
+    (f"<main>{PARA}</main><article>{PARA}<p>also</p></article>", [LINE, LINE, "also"]),
+    (f"<ul class='menu'><li>x<li>y</ul><div>{PARA}</div>", [LINE]),
+])
+def test_pages_that_are_easily_cut(page, want):
+    assert H.main_text(f"<html><body>{page}</body></html>").split("\n\n") == want
+
+
 # --- language model
 
 
@@ -278,15 +301,17 @@ def test_archives_of_messy_rows(spark):
     assert len(got) == len(pages) and all(r.problem is None for r in got)
     by = {r.page_id: r for r in got}
     for i, _, html in pages:
-        assert bytes(by[i].payload) == (html or "").encode() and by[i].payload_digest == hashlib.sha256((html or "").encode()).hexdigest()
-    assert {i: r.refers_to for i, r in by.items() if r.record_type == "revisit"} == {3: 1, None: 1, 5: 2} and by[3].segments > 50
+        raw = (html or "").encode()
+        assert (by[i].payload_bytes, by[i].payload_digest) == (len(raw), hashlib.sha256(raw).hexdigest())
+        assert by[i].payload is None if by[i].record_type == "revisit" else bytes(by[i].payload) == raw
+    assert {i: r.refers_to for i, r in by.items() if r.record_type == "revisit"} == {3: 1, None: 1, 5: 2} and by[1].segments > 50 and by[3].segments == 1
     assert WA.read_archives(WA.write_archives(df.limit(0))).count() == 0
 
 
 def test_files_and_broken_archives(spark, tmp_path):
     page = spark.createDataFrame([(1, "u", "abc" * 2000)], "page_id long, url string, html string").coalesce(1)
     content = bytes(WA.write_archives(page, segment_bytes=1000).first().content)
-    pieces = [WA.record(f["warc-type"], f["warc-record-id"][10:-1], b, {k: v for k, v in f.items() if k not in ("warc-type", "warc-record-id", "content-length", "warc-date")}) for f, b in WA.parse(content)]
+    pieces = [WA.record(f["warc-type"], f["warc-record-id"][10:-1], b, {k: v for k, v in f.items() if k not in ("warc-type", "warc-record-id", "content-length", "warc-date")}) for f, b, _ in WA.parse(content)]
     (tmp_path / "b.warc.gz").write_bytes(b"".join(reversed(pieces)))  # out of order
     files = spark.read.format("binaryFile").load(str(tmp_path)).withColumnRenamed("path", "archive")
     whole = WA.read_archives(files).first()
@@ -295,6 +320,22 @@ def test_files_and_broken_archives(spark, tmp_path):
     assert make(pieces[:2] + pieces[3:]) == "segment missing" and make(pieces[:-1]) == "length differs from total" and make(pieces[:1]) == "length differs from total"
 
 
+def test_damaged_records_are_reported(spark):
+    """One bad record costs no other."""
+    good = WA.record("response", "a", WA.http_message(b"abc"), {"X-Page-ID": "-7", "WARC-Payload-Digest": "sha256:" + hashlib.sha256(b"abc").hexdigest()})
+    plain = zlib.decompress(good, 31)
+    cases = {
+        "header cut short": plain + b"WARC/1.1\r\nContent-Le", "content length missing": b"WARC/1.1\r\nWARC-Type: response\r\n\r\n" + plain, "record cut short": plain + plain[:-10],
+        "archive cut short": good + good[:-20], "archive damaged": good[:40] + b"\0\0\0" + good[43:] + good, "revisit of nothing": plain + zlib.decompress(WA.record("revisit", "b", b"HTTP/1.1 200 OK\r\n\r\n", {"WARC-Payload-Digest": "sha256:00"}), 31),
+        "digest differs": plain + plain.replace(b"abc", b"abd"), "chunk size expected": plain + zlib.decompress(WA.record("response", "c", b"H\r\nTransfer-Encoding: chunked\r\n\r\n-3\r\nabc", {}), 31),
+    }
+    for problem, content in cases.items():
+        found = WA.read_archives(spark.createDataFrame([("a", content)], "archive string, content binary")).collect()
+        assert sorted(str(r.problem) for r in found) == sorted(["None", problem]), problem
+        whole = next(r for r in found if r.problem is None)
+        assert (whole.page_id, bytes(whole.payload), whole.payload_bytes) == (-7, b"abc", 3)
+
+
 @pytest.mark.parametrize("block", [b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nabc", b"no end", b"H\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabcd\r\n0\r\n\r\n"])
 def test_broken_framing(block):
     with pytest.raises(ValueError):
