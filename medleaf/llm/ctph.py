@@ -4,9 +4,13 @@ A hash over the last seven bytes rolls along the UTF-8 text. Where it plus one i
 ends; every piece gives one character of a signature. Block sizes are 3 * 2^k; a fingerprint has the signatures at a
 block size chosen by the text's length and at twice that size, so that texts of similar length can be compared.
 
+Null and empty texts have an empty fingerprint, texts of any length are read whole, by segments; rows that repeat have equal
+fingerprints, an empty table gives an empty table; columns other than doc_id and text are not looked at, so that none
+can clash.
+
 Likeness of two fingerprints: at equal or neighbouring block sizes, one minus the edit distance of the signatures
-(insertions and deletions) over their joint length, if they share a run of GATE characters (of a quarter of the shorter one, if that is less); else 0. Equal fingerprints
-have likeness 1.
+(insertions and deletions) over their joint length, if they share a run of GATE characters (of a quarter of the shorter
+one, if that is less); else 0. Equal fingerprints have likeness 1.
 """
 
 from __future__ import annotations

@@ -76,7 +76,8 @@ def assign_shards(df: DataFrame, key: Column, shards: int, vnodes: int = 64, loa
 
     key decides the ring position; `order` names columns that break ties between equal keys. Null keys are keys like any
     other. Rows that are alike in key and order may swap slots between runs, which changes no content. An empty table
-    gives an empty table. Clashing columns named shard or slot are replaced.
+    gives an empty table; keys may be of any length, as only their hashes are used. Columns named shard or slot are
+    replaced, others may have any names but __pos, __cell, __arc, __rank, __offset, __of, __lo, __hi, __shard, __first.
     """
     if shards < 1 or vnodes < 1 or load_factor < 1:
         raise ValueError("shards and vnodes must be at least 1, load_factor at least 1.0")
@@ -93,18 +94,18 @@ def assign_shards(df: DataFrame, key: Column, shards: int, vnodes: int = 64, loa
     cells = cells.join(F.broadcast(arc_of), F.shiftright("__cell", bits - coarse) == F.col("big_cell"))
     # the stretch of arc 0 behind the last point comes before its other cells
     ahead = W.partitionBy("arc").orderBy(F.col("wrapped").desc(), "__cell").rowsBetween(W.unboundedPreceding, -1)
-    cells = cells.select("__cell", "arc", "__n", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__offset"))
+    cells = cells.select("__cell", F.col("arc").alias("__arc"), "__n", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__offset"))
     counts = [0] * arcs_n
-    for arc, n in cells.groupBy("arc").agg(F.sum("__n")).collect():  # as many rows as there are virtual nodes
+    for arc, n in cells.groupBy("__arc").agg(F.sum("__n")).collect():  # as many rows as there are virtual nodes
         counts[arc] = n
     whole = math.ceil(rows * load_factor)
     capacity = [whole // shards + (k < whole % shards) for k in range(shards)]
-    segments = spark.createDataFrame(settle(counts, [s for _, s in points], capacity), "arc int, lo long, hi long, shard int, first long")
+    segments = spark.createDataFrame(settle(counts, [s for _, s in points], capacity), "__of int, __lo long, __hi long, __shard int, __first long")
     in_cell = W.partitionBy("__cell").orderBy("__pos", *order)
-    ranked = hashed.withColumn("__rank", F.row_number().over(in_cell) - 1).join(cells.select("__cell", "arc", "__offset"), "__cell")
+    ranked = hashed.withColumn("__rank", F.row_number().over(in_cell) - 1).join(cells.select("__cell", "__arc", "__offset"), "__cell")
     ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__offset"))
-    placed = ranked.join(F.broadcast(segments), (ranked["arc"] == segments["arc"]) & (ranked["__rank"] >= segments["lo"]) & (ranked["__rank"] < segments["hi"]))
-    return placed.select(*[c for c in df.columns if c not in ("shard", "slot")], "shard", (F.col("__rank") - F.col("lo") + F.col("first")).alias("slot"))
+    placed = ranked.join(F.broadcast(segments), (ranked["__arc"] == segments["__of"]) & (ranked["__rank"] >= segments["__lo"]) & (ranked["__rank"] < segments["__hi"]))
+    return placed.select(*[c for c in df.columns if c not in ("shard", "slot")], F.col("__shard").alias("shard"), (F.col("__rank") - F.col("__lo") + F.col("__first")).alias("slot"))
 
 
 def op7_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

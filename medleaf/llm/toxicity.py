@@ -9,8 +9,11 @@ Features of a text, none of which depends on its label, language, source or id:
 - capitals, punctuation, repeated marks, digits, and obfuscation (letters with marks or digits between them that spell a
   lexicon word once these are taken out).
 
-The model is fitted on the driver on at most `max_rows` labelled training rows, drawn by a hash of the id; texts are
-scored in Arrow batches wherever they lie.
+The model is fitted on the driver on at most `max_rows` labelled training rows, drawn by a hash of the id, a part of them
+at a time; texts are scored in Arrow batches wherever they lie.
+
+Null and empty texts have no features and score low, texts of any length are read whole, rows that repeat score alike, an
+empty table gives an empty table; without labels of both kinds all texts score by the one that there is.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import re
 import sys
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import fold, remembered, table, utf8
+from medleaf.llm.common import fold, remembered, stored, table, utf8
 
 #: Insults, and second-person words of English, German, French and Spanish.
 INSULTS = "clown dirt disgusting dumb fool garbage idiot jerk loser moron pathetic scum stupid trash worthless".split()
@@ -133,58 +136,69 @@ def features(text: bytes | None, lexicon: Lexicon) -> np.ndarray:
     return out
 
 
-def learn_lexicon(texts: list[bytes], toxic: np.ndarray, least: int = 4) -> Lexicon:
-    """Given insults, plus words and beginnings that stand out in toxic rows.
+@dataclass
+class WordCounts:
+    """In how many toxic and other rows words and beginnings of words stand."""
+
+    words: tuple[Counter, Counter] = field(default_factory=lambda: (Counter(), Counter()))  # toxic, other
+    prefixes: tuple[Counter, Counter] = field(default_factory=lambda: (Counter(), Counter()))
+    rows: list[int] = field(default_factory=lambda: [0, 0])
+
+    def add(self, texts: list[bytes | None], toxic: np.ndarray) -> "WordCounts":
+        shared: dict[bytes, str] = {}  # one string for each word, however many texts hold it
+        for text, y in zip(texts, toxic, strict=True):
+            words = set()
+            for raw in set((text or b"").split()):
+                if (word := shared.get(raw)) is None:
+                    word = shared[raw] = sys.intern(_EDGE.sub("", raw.decode("utf-8", "replace").lower()))
+                words.add(word)
+            self.words[0 if y else 1].update(words)
+            self.prefixes[0 if y else 1].update({w[:k] for w in words for k in PREFIXES if len(w) > k})
+            self.rows[0 if y else 1] += 1
+        return self
+
+    def merge(self, other: "WordCounts") -> None:
+        for mine, theirs in zip((*self.words, *self.prefixes), (*other.words, *other.prefixes), strict=True):
+            mine.update(theirs)
+        self.rows = [a + b for a, b in zip(self.rows, other.rows, strict=True)]
+
+
+def lexicon_of(counts: WordCounts, without: WordCounts | None = None, least: int = 4) -> Lexicon:
+    """Given insults, plus words and beginnings that stand out in toxic rows of counts, less the rows of `without`.
 
     A word stands out when it is in `least` toxic rows or more and the 95 % lower bound of its log odds is over 0.5. As a
     beginning, it must also be shared by three words at least, so that a single word is not counted as a stem.
     """
-    shared: dict[bytes, str] = {}  # one string for each word, however many texts hold it
-
-    def plain(raw: bytes) -> str:
-        if (word := shared.get(raw)) is None:
-            word = shared[raw] = sys.intern(_EDGE.sub("", raw.decode("utf-8", "replace").lower()))
-        return word
-
-    docs = [frozenset(map(plain, (t or b"").split())) for t in texts]
-    shared.clear()
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    gone = without or WordCounts()
+    n1, n0 = (max(1, a - b) for a, b in zip(counts.rows, gone.rows, strict=True))
 
-    def weigh(make) -> dict[str, float]:
-        c1, c0 = Counter(), Counter()
-        for words, y in zip(docs, toxic, strict=True):
-            (c1 if y else c0).update(make(words))
+    def weigh(own: tuple[Counter, Counter], other: tuple[Counter, Counter]) -> dict[str, float]:
         out = {}
-        for w, a in c1.items():
+        for w, a in own[0].items():
+            a -= other[0].get(w, 0)
             if a >= least:
-                b = c0.get(w, 0)
+                b = own[1].get(w, 0) - other[1].get(w, 0)
                 odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
                 low = odds - 1.96 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
                 if low > 0.5 or (b == 0 and odds > 2.5):
                     out[w] = odds
         return out
 
-    words = weigh(lambda d: d)
+    words, prefixes = weigh(counts.words, gone.words), weigh(counts.prefixes, gone.prefixes)
     stems: dict[str, set[str]] = {}
-
-    def beginnings(d):
-        found = set()
-        for w in d:
-            for k in PREFIXES:
-                if len(w) > k:
-                    found.add(w[:k])
-        return found
-
-    prefixes = weigh(beginnings)
-    for d in docs:
-        for w in d:
+    for own, other in zip(counts.words, gone.words, strict=True):
+        for w, n in own.items():
             for k in PREFIXES:
-                if len(w) > k and w[:k] in prefixes and len(stems.setdefault(w[:k], set())) < 3:
+                if len(w) > k and w[:k] in prefixes and len(stems.setdefault(w[:k], set())) < 3 and n > other.get(w, 0):
                     stems[w[:k]].add(w)
     prefixes = {p: v for p, v in prefixes.items() if len(stems.get(p, ())) >= 3}
     return Lexicon({**{w: 4.0 for w in INSULTS}, **words}, prefixes)
 
 
+def learn_lexicon(texts: list[bytes], toxic: np.ndarray, least: int = 4) -> Lexicon:
+    return lexicon_of(WordCounts().add(texts, toxic), least=least)
+
+
 @dataclass
 class Trees:
     """Boosted trees of fixed depth, as arrays: feature and threshold of inner nodes, value of leaves."""
@@ -268,50 +282,71 @@ class Model:
         return np.clip(0.999 * level + 0.001 / (1 + np.exp(-raw)), 0.0, 1.0)
 
 
-def fit(texts: list[bytes | None], toxic: np.ndarray, seed: int = 5) -> Model:
-    """Two halves: words and beginnings are learned on one and trees on the other, and the reverse, so that trees see
-    densities as they are in texts the lexicon was not learned from. A quarter is kept for calibration.
+def fit_parts(part: Callable[[int], tuple[list[bytes | None], np.ndarray]], parts: int = 4) -> Model:
+    """A model from parts of a sample, each of which is asked for twice and not kept: words are counted first, then features
+    taken with a lexicon that was learned from the other parts, so that trees see densities as they are in texts the
+    lexicon does not know. Each part's scores by trees of the others are kept for the calibration.
     """
-    if not len(texts) or toxic.all() or not toxic.any():
-        return Model(Lexicon({w: 4.0 for w in INSULTS}, {}), Trees(0, -4.0 if not toxic.any() else 4.0, np.zeros((0, 0), int), np.zeros((0, 0)), np.zeros((0, 1))), (np.zeros(0), np.zeros(0)))
-    part = np.random.default_rng(seed).permutation(len(texts)) % 4
-    x = np.zeros((len(texts), len(FEATURES)))
-    for k in range(4):
-        others = learn_lexicon([t for t, p in zip(texts, part, strict=True) if p != k], toxic[part != k])
-        for i in np.flatnonzero(part == k):
-            x[i] = features(texts[i], others)
-    y, raw = toxic.astype(float), np.zeros(len(texts))
-    for k in range(4):  # scores of rows that the trees have not seen, for the calibration
-        raw[part == k] = boost(x[part != k], y[part != k]).raw(x[part == k])
-    return Model(learn_lexicon(texts, toxic), boost(x, y), isotonic(raw, y))
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6_000, folds: int = 5, held_out: int = 0) -> Model:
+    counts = [WordCounts().add(*part(k)) for k in range(parts)]
+    whole = WordCounts()
+    for one in counts:
+        whole.merge(one)
+    if 0 in whole.rows:
+        return Model(Lexicon({w: 4.0 for w in INSULTS}, {}), Trees(0, -4.0 if not whole.rows[0] else 4.0, np.zeros((0, 0), int), np.zeros((0, 0)), np.zeros((0, 1))), (np.zeros(0), np.zeros(0)))
+    x, y, of = [np.zeros((0, len(FEATURES)))], [], []
+    for k in range(parts):
+        texts, toxic = part(k)
+        others = lexicon_of(whole, counts[k])
+        x += [features(t, others)[None] for t in texts]
+        y.append(toxic.astype(float))
+        of.append(np.full(len(texts), k))
+    x, y, of = np.concatenate(x), np.concatenate(y), np.concatenate(of)
+    raw = np.zeros(len(y))
+    for k in range(parts):
+        raw[of == k] = boost(x[of != k], y[of != k]).raw(x[of == k])
+    return Model(lexicon_of(whole), boost(x, y), isotonic(raw, y))
+
+
+def fit(texts: list[bytes | None], toxic: np.ndarray, seed: int = 5) -> Model:
+    """A model from rows in memory, in four random parts."""
+    of = np.random.default_rng(seed).permutation(len(texts)) % 4
+    return fit_parts(lambda k: ([t for t, p in zip(texts, of, strict=True) if p == k], np.asarray(toxic)[of == k]))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6_000, folds: int = 5, held_out: int = 0, parts: int = 4) -> Model:
     """Fits on at most `max_rows` labelled rows whose crc32(doc_id) modulo `folds` is not `held_out`.
 
     Rows come in the order of a hash of their ids, so that the sample does not depend on partitions. Rows without a
-    label are left out; of ids that repeat, one text and label stand.
+    label are left out; of ids that repeat, one text and label stand. The driver holds one of `parts` parts of the texts at
+    a time.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", folds) != held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    rows = sorted(rows.select("doc_id", F.encode("text", "UTF-8").alias("text"), "toxic").collect())  # bounded by max_rows
-    return fit([None if t is None else bytes(t) for _, t, _ in rows], np.array([bool(y) for *_, y in rows], bool))
+    rows = stored(rows.select("doc_id", F.encode("text", "UTF-8").alias("text"), "toxic", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(parts)).alias("part")), "toxic-sample")
+
+    def part(k: int) -> tuple[list[bytes | None], np.ndarray]:
+        found = sorted((r.doc_id, None if r.text is None else bytes(r.text), bool(r.toxic)) for r in rows.filter(F.col("part") == k).toLocalIterator())
+        return [t for _, t, _ in found], np.array([y for *_, y in found], bool)
 
+    return fit_parts(part, parts)
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds `score` (0 to 1) to every row of docs; null and empty texts get the score of a text without features."""
+
+def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
+    """Adds a column (0 to 1) to every row of docs; one of that name is replaced. Null and empty texts get the score of a
+    text without features.
+    """
     shared, name = docs.sparkSession.sparkContext.broadcast(model), f"model {uuid.uuid4().hex}"
-    names = [c for c in docs.columns if c != "score"]
+    names = [c for c in docs.columns if c != column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # a copy, whose words seen go when another operator comes
             found = remembered(name, lambda: copy.deepcopy(shared.value)).score(utf8(batch, "text"))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.float64())], names=[*names, column])
 
     kept = docs.select(*[docs[c] for c in names])
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", score double")
+    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + f", `{column}` double")
 
 
 def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

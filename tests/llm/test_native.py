@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import math
 import zlib
 
 import numpy as np
@@ -111,6 +113,36 @@ def test_mixing_of_nothing(spark):
     assert mixing.mix_counts(empty.select("doc_id", "source", "size")).count() == 0 and mixing.mix_rows(empty).count() == 0
 
 
+def test_columns_of_any_name(spark):
+    """Names that the operators use themselves, as columns of the input."""
+    df = spark.createDataFrame([(k, f"w {k} x", "en", "s", 1, k, k, k, k, k) for k in range(40)], "doc_id long, text string, lang string, source string, n_chars int, copies int, arc int, rows int, size int, base int")
+    out = mixing.mix_rows(df)
+    assert out.columns == df.columns and all(r.copies == r.doc_id == r.arc == r.rows for r in out.collect()) and out.count() == 40
+    sharded = sharding.assign_shards(df, F.col("doc_id"), 4, 8)
+    assert sharded.columns == [*df.columns, "shard", "slot"] and {r.arc - r.doc_id for r in sharded.collect()} == {0}
+
+
+@pytest.mark.parametrize("load_factor", [1.0, 1.3])
+def test_overflow_passes_full_shards_only(spark, load_factor):
+    """Walked row by row: from a key's own point clockwise, every shard that was passed over is full."""
+    shards, vnodes, n = 6, 5, 700
+    df = spark.range(n).select((F.col("id") % 180).alias("doc_id"), F.col("id").alias("row"))
+    mask = (1 << sharding.RING_BITS) - 1
+    placed = sharding.assign_shards(df.withColumn("pos", F.xxhash64("doc_id", F.lit(7)).bitwiseAND(F.lit(mask))), F.col("doc_id"), shards, vnodes, load_factor, ("row",)).collect()
+    bits = math.ceil(math.log2(shards * vnodes)) + 2
+    points = sharding.ring_points(shards, vnodes, bits)
+    held = [sum(r.shard == k for r in placed) for k in range(shards)]
+    whole = math.ceil(n * load_factor)
+    capacity = [whole // shards + (k < whole % shards) for k in range(shards)]
+    moved = 0
+    for r in placed:
+        at = bisect.bisect_left([c for c, _ in points], r.pos >> (sharding.RING_BITS - bits))
+        while (owner := points[at % len(points)][1]) != r.shard:
+            assert held[owner] == capacity[owner]
+            at, moved = at + 1, moved + 1
+    assert moved and all(h <= c for h, c in zip(held, capacity, strict=True))
+
+
 def check_shards(rows, shards, capacity):
     by = {}
     for shard, slot in rows:

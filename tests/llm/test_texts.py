@@ -281,6 +281,43 @@ def test_lexicon_learns_words_and_beginnings():
     assert named["hit_share"] == pytest.approx(2 / 5) and named["prefix_share"] == pytest.approx(1 / 5) and named["near_second"] == 1 and named["mark_runs"] > 0
 
 
+def test_boosting_takes_the_best_cut():
+    """One round of one cut, against every cut of every feature."""
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(60, 3)), 1)
+    y = (x[:, 1] + rng.normal(size=60) > 0.4).astype(float)
+    start = math.log((y.sum() + 1) / (60 - y.sum() + 1))
+    p = 1 / (1 + math.exp(-start))
+    g, h = p - y, np.full(60, p * (1 - p))
+
+    def gain(f, t):
+        left = x[:, f] <= t
+        if h[left].sum() < 1 or h[~left].sum() < 1:
+            return -1.0
+        return sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (left, ~left)) - g.sum() ** 2 / (h.sum() + 1)
+
+    trees = T.boost(x, y, rounds=1, depth=1, bins=60)
+    best = max(gain(f, t) for f in range(3) for t in np.unique(x[:, f]))
+    f, t = int(trees.feature[0, 0]), float(trees.threshold[0, 0])
+    assert gain(f, t) == pytest.approx(best, rel=0.02) and f == 1
+    left = x[:, f] <= t
+    assert trees.leaf[0] == pytest.approx([-0.15 * g[m].sum() / (h[m].sum() + 1) for m in (left, ~left)])
+    assert trees.raw(x) == pytest.approx(start + np.where(left, *trees.leaf[0]))
+
+
+def test_lexicons_without_a_part():
+    texts = [f"aa bb zork{k % 5} vile x{k % 3}".encode() for k in range(30)] + [f"aa bb cc{k} x1".encode() for k in range(90)]
+    toxic, of = np.array([True] * 30 + [False] * 90), np.arange(120) % 4
+    part = lambda k: ([t for t, p in zip(texts, of, strict=True) if p == k], toxic[of == k])
+    counts = [T.WordCounts().add(*part(k)) for k in range(4)]
+    whole = T.WordCounts()
+    for one in counts:
+        whole.merge(one)
+    for k in range(4):
+        others = T.learn_lexicon([t for t, p in zip(texts, of, strict=True) if p != k], toxic[of != k])
+        assert T.lexicon_of(whole, counts[k]) == others
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(0)
     raw = rng.normal(size=400)
