@@ -6,7 +6,9 @@
 3. `source_mixing`: every document is repeated or left out, so that the sources come near their target shares.
 4. `best_fit_packing`: what is left, packed into sequences of 2048 tokens.
 
-All stages but the last return the columns of documents. No stage can be written in SQL as a whole (a classifier, word
+All stages but the last return the columns of documents. Nulls in any column, empty and very long texts, ties and rows that
+repeat are rows like any other (each stage says what it gives them); an empty table gives an empty table; further columns
+are kept by the first three stages and may have any names but those that begin with `__`. No stage can be written in SQL as a whole (a classifier, word
 sets by hash, random rounding, packing), so ORACLE_SQL is None and tests hold the stages against brute force.
 """
 
@@ -22,9 +24,9 @@ from medleaf.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that score under 0.5; null and empty texts score low and stay."""
+    """Keeps documents that score under 0.5; null and empty texts score low and stay. Rows that repeat score alike."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("score < 0.5").select(*docs.columns)
+    return toxicity.score(docs, model, "__toxicity").filter("__toxicity < 0.5").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +50,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents by the target weights of their sources."""
+    """Repeats or leaves out documents by the target weights of their sources; a null source is a source. Documents without
+    words go, as no copies of them are taken.
+    """
     return mixing.mix_rows(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences; a document that the mix repeats is packed as often."""
+    """Packs what is left into sequences; a document that the mix repeats is packed as often. Null and empty texts are an end
+    token alone.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
