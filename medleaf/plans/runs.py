@@ -220,8 +220,8 @@ RUN_QUERIES = {
     "live_progress": (live_progress, LIVE_PROGRESS),
     "progress_payload": (
         progress_payload,
-        """SELECT event_id AS seq, '{"unit":"' || CASE WHEN event_id % 2 = 0 THEN 'rows' ELSE 'run' END || '"' || CASE WHEN event_id % 3 <> 0 THEN ',"done":' || round(value)::BIGINT ELSE '' END || ',"message":"' || event_type || '","phase":"' || event_type || '"}' AS progress,
-        '{' || CASE WHEN event_id % 3 <> 0 THEN '"eta_seconds":' || round(value)::BIGINT || ',' ELSE '' END || '"confidence":"live","source":"import-live-progress"}' AS estimate FROM events""",
+        """SELECT event_id AS seq, '{"unit":"' || CASE WHEN event_id % 2 = 0 THEN 'rows' ELSE 'run' END || '"' || CASE WHEN event_id % 3 <> 0 AND event_id % 7 <> 0 THEN ',"done":' || round(value)::BIGINT ELSE '' END || ',"message":"' || event_type || '","phase":"' || event_type || '"}' AS progress,
+        '{' || CASE WHEN event_id % 3 <> 0 AND event_id % 7 <> 0 THEN '"eta_seconds":' || round(value)::BIGINT || ',' ELSE '' END || '"confidence":"live","source":"import-live-progress"}' AS estimate FROM events""",
     ),
     "admission": (admission, ADMISSION),
     "throttle": (throttle, THROTTLE),
