@@ -140,18 +140,19 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """(doc_id, text, bucket, guard): documents by rising id in buckets of similar numbers, each sorted within a
     partition and followed by the first document of the next bucket (guard), the last by the first of all.
 
-    Null ids come last; ids that repeat are ordered by their texts' hashes. Texts are shuffled once; the bucket borders are
+    Null ids come last, in the order of their texts' hashes; ids that repeat are ordered by these, too. Texts are shuffled once; the bucket borders are
     quantiles of the ids, `parts` of them at most.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     borders = np.unique(np.array(docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.25 / parts) if parts > 1 else [], float))
 
     @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
+    def bucket_of(ids: pd.Series, h: pd.Series) -> pd.Series:
         at = np.searchsorted(borders, ids.to_numpy(dtype=float, na_value=np.nan), "right")
-        return pd.Series(np.where(ids.isna(), len(borders) + 1, at).astype(np.int32))
+        last = len(borders) + 1 + 32 + (h.to_numpy() >> 58)  # rows without an id, by ranges of their hashes
+        return pd.Series(np.where(ids.isna(), last, at).astype(np.int32))
 
-    rows = docs.withColumns({"bucket": bucket_of("doc_id"), "h": F.xxhash64("text")})
+    rows = docs.withColumn("h", F.xxhash64("text")).withColumn("bucket", bucket_of("doc_id", "h"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h")
     firsts = sorted((r[0], r[1]["doc_id"], r[1]["h"]) for r in rows.groupBy("bucket").agg(F.min(order)).collect())  # one row a bucket
     before = [b for b, _, _ in firsts]
