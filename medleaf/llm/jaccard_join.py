@@ -48,6 +48,7 @@ from medleaf.llm.tables import components, tally
 BLOCK, FLUSH, POSTS = 2_000_000, 500_000, 700_000
 WORD_BITS, GRAM_BITS, CHOSEN_BITS = 22, 23, 26
 MEET, FEW = 3, 16
+BROADCAST_ROWS, GRAMS_IN_TASK = 400_000, 1_000_000  # some 30 MB
 MU = 0.2  # cost of a binary search on a long list against that of merging an entry
 
 
@@ -379,7 +380,7 @@ def meetings(docs: DataFrame, percent: int, parts: int, signs: Callable[[bytes |
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         return met(rows, percent, star)
 
-    return docs.mapInArrow(sign, "p int, kind int, a binary, b binary, c binary, d binary").groupBy("p").applyInPandas(reduce, MET)
+    return docs.mapInArrow(sign, "p int, kind int, a binary, b binary, c binary, d binary").repartition(parts, "p").groupBy("p").applyInPandas(reduce, MET)
 
 
 def frequent(pairs: DataFrame, percent: int) -> DataFrame:
@@ -481,7 +482,12 @@ def links_between(docs: DataFrame, clusters: DataFrame, width: int, percent: int
     # the links within a block count in one of its pairs, that with the next block
     within = (F.col("with") == F.pmod(F.col("own") + 1, "blocks")) | (F.col("blocks") == 1)
     placed = placed.select("id", "h1", "cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "copies", within.alias("within"))
-    parts = placed.join(texts_of(docs, clusters), "id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
+    placed = stored(placed, "placed")
+    total, rows_placed = clusters.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], placed.count()
+    # a small table goes to the texts, so that these are sent once; a large one is joined
+    small = F.broadcast(placed) if rows_placed <= BROADCAST_ROWS else placed
+    parts = texts_of(docs, clusters).join(small, "id").select("id", "h1", "cluster", "i", "j", "own", "copies", "within", "text")
+    parts = parts.repartition(max(32, total // GRAMS_IN_TASK), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
 
     def solve(group: list[tuple[int, int, int, bool]], sets: list[np.ndarray]) -> list[tuple[int, int | None, int]]:
         degrees, pairs = [0] * len(group), []

@@ -63,6 +63,7 @@ def near_copies(n=300, seed=7):
 def test_components_as_by_all_pairs(spark, monkeypatch, block, flush, width, percent):
     monkeypatch.setattr(J, "BLOCK", block)  # small blocks: clusters are searched as pairs of blocks
     monkeypatch.setattr(J, "FLUSH", flush)  # tasks send their documents in several parts
+    monkeypatch.setattr(J, "BROADCAST_ROWS", J.BROADCAST_ROWS if width == 4 else 0)
     texts = near_copies() | {1: None, 4: "", 7: " \n ", 10: "one", 13: "one", 16: "ONE two", 19: "x " * 30_000, 22: "x x x x"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("label", F.lit(1)).withColumn("n", F.lit(2))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(df, width, percent).collect()}
