@@ -1,6 +1,7 @@
 """Lookups and listings, for one key or for a table of keys.
 
-Functions that take `keys` accept a single value or a DataFrame with one column of the key's name. Orders follow the
+Functions that take `keys` accept a single value or a DataFrame with one column of the key's name; ALL stands for every
+row that has a key. Orders follow the
 convention that nulls come last upwards and first downwards; every limit stands behind a total order. No match gives an
 empty table.
 """
@@ -18,8 +19,13 @@ PACKAGE_FIELDS = ["generic_name", "brand_name", "dosage_form", "short_dosage_for
 PAGE, LETTER_PAGE, EVIDENCE_ROWS, MOST_EVIDENCE = 49_999, 100, 100, 500
 
 
+ALL = object()
+
+
 def keyed(df: DataFrame, keys: object, key: str) -> DataFrame:
-    """Rows of df whose key is the given one, or is among those of a table of keys."""
+    """Rows of df whose key is the given one, or is among those of a table of keys; with ALL, those that have one."""
+    if keys is ALL:
+        return df.filter(F.col(key).isNotNull())
     if isinstance(keys, DataFrame):
         return df.join(keys.select(key).distinct(), key, "left_semi")
     return df.filter(F.col(key) == keys)
@@ -86,6 +92,19 @@ def list_products(products: DataFrame, size: int = PAGE, page: int | None = None
     return _page(products, _listing_order(products, generic, brand, key), size, page).withColumn("display_name", display_name(F.col(brand), F.col(generic)))
 
 
+def list_products_after(products: DataFrame, after: tuple[str | None, str | None, str | None] | None, size: int = PAGE, generic: str = "generic_name", brand: str = "brand_name", key: str = "product_ndc") -> DataFrame:
+    """The page of list_products that follows a row (its generic name, brand name and code); the first page for None. For
+    long listings: rows before it are filtered out where they lie, and not sorted again for every page. Codes must be
+    unique.
+    """
+    if after is not None:
+        # in the listing's order nulls come last
+        place = F.struct(*[x for c in (generic, brand, key) for x in (F.col(c).isNull().alias(f"no_{c}"), F.coalesce(c, F.lit("")).alias(c))])
+        there = F.struct(*[x for c, v in zip((generic, brand, key), after, strict=True) for x in (F.lit(v is None).alias(f"no_{c}"), F.lit(v or "").alias(c))])
+        products = products.filter(place > there)
+    return list_products(products, size, 0, generic, brand, key)
+
+
 def list_products_by_letter(products: DataFrame, letter: str, size: int = LETTER_PAGE, page: int | None = None, generic: str = "generic_name", brand: str = "brand_name", key: str = "product_ndc", literal: bool = False) -> DataFrame:
     """A page of the products whose generic name starts with a letter of either case."""
     if len(letter) != 1:

@@ -32,6 +32,13 @@ def matching_generic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.matching_generic_names(products(spark, sf_dir), "%w_dget")
 
 
+def list_all_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same page of all products, found by the last row of the page before."""
+    rows = products(spark, sf_dir)
+    last = L.list_products(rows, size=1, page=119).select("generic_name", "brand_name", "product_ndc").first()
+    return L.list_products_after(rows, tuple(last), size=40).select("product_ndc", "generic_name", "brand_name", "display_name")
+
+
 def list_all_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.list_products(products(spark, sf_dir), size=40, page=3).select("product_ndc", "generic_name", "brand_name", "display_name")
 
@@ -68,12 +75,12 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def package_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every package with its product and that product's label."""
-    rows = L.package_details(packages(spark, sf_dir), products(spark, sf_dir), _labels(spark, sf_dir), packages(spark, sf_dir))
+    rows = L.package_details(packages(spark, sf_dir), products(spark, sf_dir), _labels(spark, sf_dir), L.ALL)
     return rows.select("package_ndc", F.col("product.generic_name").alias("generic_name"), F.col("product.spl_id").alias("spl_id"), F.col("label.title").alias("title"))
 
 
 def product_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = L.product_details(products(spark, sf_dir), _labels(spark, sf_dir), products(spark, sf_dir))
+    rows = L.product_details(products(spark, sf_dir), _labels(spark, sf_dir), L.ALL)
     return rows.select("product_ndc", "spl_id", F.col("label.id").alias("label_id"), F.col("label.title").alias("title"))
 
 
@@ -111,6 +118,11 @@ LOOKUP_QUERIES = {
         f"WITH {PRODUCTS} SELECT product_ndc, generic_name, brand_name, CASE WHEN lower(brand_name) <> lower(generic_name) THEN brand_name ELSE generic_name END AS display_name "
         "FROM product ORDER BY generic_name NULLS LAST, brand_name NULLS LAST, product_ndc NULLS LAST LIMIT 40 OFFSET 120",
     ),
+    "list_all_after": (
+        list_all_after,
+        f"WITH {PRODUCTS} SELECT product_ndc, generic_name, brand_name, CASE WHEN lower(brand_name) <> lower(generic_name) THEN brand_name ELSE generic_name END AS display_name "
+        "FROM product ORDER BY generic_name NULLS LAST, brand_name NULLS LAST, product_ndc NULLS LAST LIMIT 40 OFFSET 120",
+    ),
     "list_by_letter": (list_by_letter, f"WITH {PRODUCTS} SELECT product_ndc, generic_name, brand_name FROM product WHERE generic_name ILIKE 'b%' ORDER BY generic_name, brand_name NULLS LAST, product_ndc LIMIT 25"),
     "display_names": (display_names, f"WITH {PRODUCTS} SELECT product_id, CASE WHEN lower(brand_name) <> lower(generic_name) THEN brand_name ELSE generic_name END AS display_name FROM product"),
     "status_counts": (status_counts, "SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM lineitem) AS packages"),
