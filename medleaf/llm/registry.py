@@ -8,6 +8,7 @@ from medleaf.llm.interpolated_lm import op4_deleted_interpolation
 from medleaf.llm.jaccard_join import op2_jaccard_join
 from medleaf.llm.mixing import op1_pivotal_mix
 from medleaf.llm.mpeg_audio import op3_mpeg_audio
+from medleaf.llm.near_dedup import op11_circulant_minhash
 from medleaf.llm.packing import op6_vector_best_fit
 from medleaf.llm.sharding import op7_ring_sharding
 from medleaf.llm.toxicity import op5_boosted_toxicity
@@ -24,6 +25,7 @@ QUERIES = [
     op8_segment_reassembly,
     op9_line_blocks,
     op10_piecewise_hash,
+    op11_circulant_minhash,
 ]
 
 
