@@ -10,7 +10,9 @@ from medleaf.llm.mixing import op1_pivotal_mix
 from medleaf.llm.mpeg_audio import op3_mpeg_audio
 from medleaf.llm.near_dedup import op11_circulant_minhash
 from medleaf.llm.packing import op6_vector_best_fit
+from medleaf.llm.phrases import OP13_SQL, op13_trie_collocations
 from medleaf.llm.sharding import op7_ring_sharding
+from medleaf.llm.spelling import op12_spelling_variants
 from medleaf.llm.toxicity import op5_boosted_toxicity
 from medleaf.llm.warc import OP8_SQL, op8_segment_reassembly
 
@@ -26,6 +28,8 @@ QUERIES = [
     op9_line_blocks,
     op10_piecewise_hash,
     op11_circulant_minhash,
+    op12_spelling_variants,
+    op13_trie_collocations,
 ]
 
 
@@ -35,4 +39,4 @@ def queries():
 
 def oracle_sql():
     """The others draw by hash, learn, pack or parse: tests hold them against brute force instead."""
-    return {"op8_segment_reassembly": OP8_SQL}
+    return {"op8_segment_reassembly": OP8_SQL, "op13_trie_collocations": OP13_SQL}
