@@ -4,18 +4,20 @@ Texts are cut into pieces at punctuation and line ends and pieces into words. Ph
 phrases have frequent parts only:
 
 1. For each number of words, tasks add up hashes of the phrases whose shorter parts are all safe, and hash sums are added
-   up. What sums to `least` or more is safe: a phrase that frequent always is, others by a collision of hashes alone. The
-   next pass gives the safe phrases' names. (Parts are looked up in a table of at most 2^SAFE_BITS bits; one that is too
-   small for its phrases lets more through and never decides a result.)
-2. Safe phrases, as bytes, go into double-array tries of at most KEYS bytes of phrases each. Each trie is sent to all
-   tasks in turn: a task starts a state at every word of a block of texts, advances all states together, byte by byte, and
-   counts the phrases whose ends are reached. Tasks' counts are added up by blocks of phrases.
-3. Scores, and what longer phrases make superfluous, are joins on the counted phrases. Parts that very many phrases share
+   up. What sums to `least` or more is safe: a phrase that frequent always is, others by a collision of hashes alone.
+   (Parts are looked up in tables of at most 2^SAFE_BITS bits; one that is too small for its phrases lets more through and
+   never decides a result.)
+2. The safe phrases with the largest sums, KEYS bytes of them, are named (by one text each that holds their hash) and go into a double-array trie that is sent to all
+   tasks. A task starts a state at every word of a block of texts, advances all states together, byte by byte, and counts
+   the phrases whose ends are reached. Tasks' counts are added up by blocks of phrases.
+3. Safe phrases that do not fit are counted in the same pass and way, but by tries that tasks make of those which their own
+   texts hold; these are rarer, and so sent by few tasks each. If all fit there are none.
+4. Scores, and what longer phrases make superfluous, are joins on the counted phrases. Parts that very many phrases share
    are looked up in copies.
 
-All memory is bounded: by blocks of texts (BLOCK bytes, or one piece that is longer), by tables of HELD hashes or names, and
-by the tries. Texts are read once for each number of words, once more, and once for each trie; the number of tries grows
-with that of frequent phrases.
+Texts are read once for each number of words and twice more, whatever their size. All memory is bounded: by blocks of
+texts (BLOCK bytes, or one piece that is longer; TEXTS bytes of them for a trie of a task's own), by tables of HELD hashes,
+and by the tries.
 
 Nulls, ties and repeated rows: a null language is `und`, a null text empty; rows that repeat count as often as they stand
 there; phrases alike in score and frequency are in the order of their bytes. An empty table gives an empty table. Columns
@@ -24,13 +26,13 @@ other than lang and text are not looked at, so that none can clash.
 
 from __future__ import annotations
 
-import math
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ from medleaf.llm.jaccard_join import bit, cells, mix, present, runs
 from medleaf.llm.tables import HUB, _salt, _salted, tally
 
 LEAST, LONGEST, INSIDE, MOST, PARTS_PER_MILLION = 10, 3, 50, 2000, 1_000_000
-BLOCK, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 1_500_000, 8 << 20, 27, 1 << 14
+BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 24 << 20, 1_500_000, 8 << 20, 27, 1 << 14
 UNKNOWN = "und"
 SPACE, LINE = 32, 10
 #: Ends of pieces become line ends, white space within them spaces.
@@ -154,71 +156,80 @@ class _Sums:
         return self.held > HELD * 2 // 3
 
 
-LEVEL = "hash long, lang string, phrase string, n long"
+class Safe:
+    """Safe hashes of each number of words, as tables of bits sent to tasks."""
 
-
-def level(docs: DataFrame, width: int, safe: Callable[[], np.ndarray] | None, bits: int, least: int, last: bool) -> DataFrame:
-    """Rows of LEVEL: sums of hashes of phrases of some width that reach `least`; the names (lang, phrase, n: 1 or more) of
-    safe phrases with one word less; with width 1, the number of words of each language. With last, names only.
+    def __init__(self) -> None:
+        self.tables: list[tuple[Broadcast, int]] = []
+
+    def add(self, hashes: DataFrame) -> None:
+        """Adds a table for phrases with one more word: 16 bits for each hash (hash), up to 2^SAFE_BITS (16 MB)."""
+        bits = int(np.clip(np.ceil(np.log2(16 * hashes.count() + 1)), 14, SAFE_BITS))
+        table_of = tally(hashes, lambda b: cells(b.column("hash").to_numpy(zero_copy_only=False).view(np.uint64), bits), bits, present, few=True)
+        self.tables.append((hashes.sparkSession.sparkContext.broadcast(table_of), bits))
+
+    def phrases(self, block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(words, hashes) of phrases of a width that are safe, where they begin."""
+        table_of, bits = self.tables[width - 1]
+        at = np.flatnonzero(block.phrases(width))
+        h = block.hashes(at, width)
+        found = bit(table_of.value, cells(h, bits))
+        return at[found], h[found]
+
+
+def hash_sums(docs: DataFrame, width: int, safe: Safe, least: int) -> DataFrame:
+    """(hash, lang, n): sums of the hashes of phrases of some width that reach `least`; with width 1 also the number of words
+    of each language, without a hash.
     """
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, names, words, held = _Sums(), {}, {}, 0
+        sums, words = _Sums(), {}
         for lang, block in blocks(batches):
             if width == 1:
                 words[lang] = words.get(lang, 0) + len(block.starts)
-                keep = np.flatnonzero(block.phrases(1))
+                keep = np.arange(len(block.starts))
             else:
-                at = np.flatnonzero(block.phrases(width - 1))
-                h = block.hashes(at, width - 1)
-                found = bit(safe(), cells(h, bits))
-                at, h = at[found], h[found]
-                first = np.unique(h, return_index=True)[1]
-                mine = names.setdefault(lang, set())
-                held -= len(mine)
-                mine.update(block.names(at[first], width - 1))
-                held += len(mine)
                 there = np.zeros(len(block.starts) + 1, bool)
-                there[at] = True
-                keep = np.flatnonzero(there[:-1] & there[1:] & block.phrases(width)) if not last else at[:0]
+                there[safe.phrases(block, width - 1)[0]] = True
+                keep = np.flatnonzero(there[:-1] & there[1:] & block.phrases(width))
             sums.add(block.hashes(keep, width))
             if sums.full():
                 yield from rows(*sums.merged())
                 sums = _Sums()
-            if held > HELD:
-                yield from named(names)
-                names, held = {}, 0
         yield from rows(*sums.merged())
-        yield from named(names)
-        yield made([None] * len(words), list(words), [None] * len(words), list(words.values()))
+        yield made([None] * len(words), list(words), list(words.values()))
 
-    def made(h: list | np.ndarray, langs: list, phrases: list, n: list | np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array(h, pa.int64()), pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["hash", "lang", "phrase", "n"])
+    def made(h: list | np.ndarray, langs: list, n: list | np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(langs, pa.string()), pa.array(n, pa.int64())], names=["hash", "lang", "n"])
 
     def rows(h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(h), 1 << 16):
             some = h[k : k + (1 << 16)].view(np.int64)
-            yield made(some, [None] * len(some), [None] * len(some), n[k : k + (1 << 16)])
+            yield made(some, [None] * len(some), n[k : k + (1 << 16)])
 
-    def named(names: dict[str, set[bytes]]) -> Iterator[pa.RecordBatch]:
-        for lang, found in names.items():
-            some = [p.decode() for p in found]
-            for k in range(0, len(some), 1 << 14):
-                part = some[k : k + (1 << 14)]
-                yield made([None] * len(part), [lang] * len(part), part, [1] * len(part))
-
-    found = docs.mapInArrow(passed, LEVEL)
     # tasks have added up already
-    found = found.repartition("hash", "lang", "phrase").groupBy("hash", "lang", "phrase").agg(F.sum("n").alias("n"))
-    return stored(found.filter(F.col("hash").isNull() | (F.col("n") >= least)), "phrases")
+    found = docs.mapInArrow(passed, "hash long, lang string, n long").repartition("hash", "lang").groupBy("hash", "lang").agg(F.sum("n").alias("n"))
+    return stored(found.filter(F.col("hash").isNull() | (F.col("n") >= least)), "sums")
 
 
-def safe_bits(sums: DataFrame) -> tuple[np.ndarray, int]:
-    """A table of bits of the safe hashes, 16 for each up to 2^SAFE_BITS, and its size as a power of 2."""
-    hashes = sums.filter(F.col("hash").isNotNull()).select("hash")
-    bits = int(np.clip(np.ceil(np.log2(16 * hashes.count() + 1)), 14, SAFE_BITS))
-    return tally(hashes, lambda b: cells(b.column("hash").to_numpy(zero_copy_only=False).view(np.uint64), bits), bits, present, few=True), bits
+def named(docs: DataFrame, safe: Safe) -> DataFrame:
+    """(hash, lang, phrase), each once, of the phrases of all widths that are safe."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for lang, block in blocks(batches):
+            for k in range(len(safe.tables)):
+                at, h = safe.phrases(block, k + 1)
+                h, first = np.unique(h, return_index=True)
+                new = [i for i, x in enumerate(h.tolist()) if x not in seen]
+                h, first = h[new], first[new]
+                if len(seen) + len(h) > HELD:
+                    seen = set()
+                seen.update(h.tolist())
+                phrases = [p.decode() for p in block.names(at[first], k + 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), pa.int64()), pa.array([lang] * len(h), pa.string()), pa.array(phrases, pa.string())], names=["hash", "lang", "phrase"])
+
+    return docs.mapInArrow(name, "hash long, lang string, phrase string").distinct()
 
 
 class Trie:
@@ -306,6 +317,23 @@ class Trie:
             s = t
         return s
 
+    def holds(self, keys: list[bytes]) -> np.ndarray:
+        """Which of some byte strings, none empty, are keys."""
+        data = np.frombuffer(b"".join(keys), np.uint8)
+        length = np.array([len(k) for k in keys], np.int64)
+        at = np.cumsum(length) - length
+        state, k, depth = np.zeros(len(keys), np.int32), np.arange(len(keys)), 0
+        last = np.full(len(keys), -1, np.int32)
+        while len(k):
+            to = self.base[state] + data[at[k] + depth]
+            there = self.check[to] == state
+            state, k, depth = to[there], k[there], depth + 1
+            done = length[k] == depth
+            last[k[done]] = state[done]
+            state, k = state[~done], k[~done]
+        place = np.minimum(np.searchsorted(self.ends, last), len(self.ends) - 1)
+        return self.ends[place] == last
+
     def count(self, data: np.ndarray, at: np.ndarray, root: int, total: np.ndarray) -> None:
         """Adds to total, by key, how often keys with the root's prefix go on in data at some places."""
         state, at = np.full(len(at), root, np.int32), at.copy()
@@ -322,27 +350,55 @@ class Trie:
         total[self.key_of[k[real]]] += n[real]
 
 
-def counted(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(lang, phrase, f) of docs (lang, text) for phrases (lang, phrase), which fit one trie. Every word of a phrase has a
-    space behind it.
+def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None) -> DataFrame:
+    """(lang, phrase, f) of docs (lang, text) for the phrases in keys (language, line end, words with a space behind each), and
+    for those that are safe by `rest`.
     """
-    sc = docs.sparkSession.sparkContext
-    # at most KEYS bytes, by what the caller counted
-    rows = sorted(f"{r.lang}\n{r.phrase} ".encode() for r in keys.select("lang", "phrase").toLocalIterator())
-    if not rows:
-        return keys.select("lang", "phrase", F.lit(0).cast("long").alias("f")).limit(0)
-    trie = sc.broadcast(Trie(rows))
+    trie = docs.sparkSession.sparkContext.broadcast(Trie(keys or [b"\0"]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, roots = trie.value, {}
-        total = np.zeros(-(-len(mine.keys) // SUMS) * SUMS, np.int64)
+        main, roots = trie.value, {}
+        total = np.zeros(-(-len(main.keys) // SUMS) * SUMS, np.int64)
+        held, size, own = [], 0, set()
         for lang, block in blocks(batches):
-            root = roots[lang] if lang in roots else roots.setdefault(lang, mine.root(f"{lang}\n".encode()))
+            prefix = f"{lang}\n".encode()
+            root = roots[lang] if lang in roots else roots.setdefault(lang, main.root(prefix))
             if root is not None:
-                mine.count(block.bytes, block.starts, root, total)
+                main.count(block.bytes, block.starts, root, total)
+            if rest is None:
+                continue
+            for width in range(1, len(rest.tables) + 1):
+                at, h = rest.phrases(block, width)
+                own.update([prefix + p + b" " for p in block.names(at[np.unique(h, return_index=True)[1]], width)])
+            held.append((prefix, block.bytes, block.starts))
+            size += len(block.bytes)
+            if size > TEXTS:
+                yield from here(main, own, held)
+                held, size, own = [], 0, set()
+        yield from here(main, own, held)
         total = total.reshape(-1, SUMS)
         for b in np.flatnonzero(total.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([zlib.compress(total[b].tobytes(), 1)], pa.binary())], names=["block", "counts"])
+            yield made([int(b)], [zlib.compress(total[b].tobytes(), 1)], [None], [None], [None])
+
+    def here(main: Trie, own: set[bytes], held: list[tuple[bytes, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Counts of phrases by a trie of a task's own; those that the trie of all counts are left out."""
+        names = sorted(own)
+        names = [n for n, there in zip(names, main.holds(names), strict=True) if not there] if names else names
+        if not names:
+            return
+        mine = Trie(names)
+        total = np.zeros(len(names), np.int64)
+        for prefix, data, starts in held:
+            if (root := mine.root(prefix)) is not None:
+                mine.count(data, starts, root, total)
+        for k in range(0, len(names), 1 << 14):
+            split = [n.decode().rpartition("\n") for n in names[k : k + (1 << 14)]]
+            nothing = [None] * len(split)
+            yield made(nothing, nothing, [x[0] for x in split], [x[2][:-1] for x in split], total[k : k + (1 << 14)])
+
+    def made(*columns: list | np.ndarray) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.binary(), pa.string(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "counts", "lang", "phrase", "f"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -352,36 +408,60 @@ def counted(docs: DataFrame, keys: DataFrame) -> DataFrame:
         for b, total in sums.items():
             k = np.flatnonzero(total)
             split = [trie.value.keys[b * SUMS + i].decode().rpartition("\n") for i in k]
-            columns = [[s[0] for s in split], [s[2][:-1] for s in split], total[k]]
+            columns = [[x[0] for x in split], [x[2][:-1] for x in split], total[k]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["lang", "phrase", "f"])
 
-    sums = docs.mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "lang string, phrase string, f long")
-    found = stored(sums, "counts")
-    trie.destroy()
-    return found
+    found = stored(docs.mapInArrow(count, "block int, counts binary, lang string, phrase string, f long"), "counts")
+    common = found.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(add, "lang string, phrase string, f long")
+    if rest is None:
+        return common
+    return common.union(found.filter("block is null").groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+
+
+def _step() -> Column:
+    """n on a scale of 8 steps for each doubling."""
+    return F.floor(F.log2("n") * 8).cast("int")
+
+
+def _from_step(sums: DataFrame, size: Column, most: int) -> int:
+    """The least step from which on the sizes of rows (n, ...) add up to `most` at the most."""
+    sizes = sums.groupBy(_step().alias("step")).agg(F.sum(size).alias("size")).orderBy(F.desc("step")).collect()  # 500 steps at most
+    low, left = 1 << 20, most
+    for r in sizes:
+        if r["size"] > left:
+            break
+        low, left = r["step"], left - r["size"]
+    return low
 
 
 def frequencies(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, f) of phrases of up to `longest` words with f of `least` or more, (lang, n) words of each language)."""
-    sc = docs.sparkSession.sparkContext
-    docs = docs.select("lang", "text")
-    now = level(docs, 1, None, 0, least, last=False)
-    words, names = now.filter("hash is null").select("lang", "n"), None
-    for width in range(2, longest + 2):
-        table_of, bits = safe_bits(now)
-        safe = sc.broadcast(table_of)
-        now = level(docs, width, lambda safe=safe: safe.value, bits, least, last=width > longest)
-        found = now.filter("phrase is not null").select("lang", "phrase")
-        names = found if names is None else names.union(found)
-    bytes_of = F.octet_length("phrase") + F.octet_length("lang") + 2
-    total = names.agg(F.coalesce(F.sum(bytes_of), F.lit(0))).first()[0]
-    parts = math.ceil(total * 1.2 / KEYS)  # hashes deal them out nearly evenly
-    dealt = stored(names.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(max(1, parts)))), "names")
-    counts = [counted(docs, dealt.filter(F.col("part") == k)) for k in range(max(1, parts))]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.union(more)
-    return out.filter(F.col("f") >= least), words
+    docs, safe, levels = docs.select("lang", "text"), Safe(), []
+    for width in range(1, longest + 1):
+        levels.append(hash_sums(docs, width, safe, least))
+        if width < longest:
+            safe.add(levels[-1].filter("hash is not null").select("hash"))
+    words = levels[0].filter("hash is null").select("lang", "n")
+    levels = [sums.filter("hash is not null").select("hash", "n") for sums in levels]
+    every = levels[0]
+    for sums in levels[1:]:
+        every = every.union(sums)
+    # the most frequent phrases: as many as may fit, then, by their names, those that do
+    low = _from_step(every, F.lit(1), KEYS // 16)
+    common = Safe()
+    for sums in levels:
+        common.add(sums.filter(_step() >= low).select("hash"))
+    names = stored(named(docs, common).join(every.filter(_step() >= low), "hash"), "names")
+    low = max(low, _from_step(names, F.octet_length("phrase") + F.octet_length("lang") + 2, KEYS))
+    chosen = names.filter(_step() >= low).select("lang", "phrase")
+    keys = sorted({f"{r.lang}\n{r.phrase} ".encode() for r in chosen.collect()})  # KEYS bytes at most
+    left = [sums.filter(_step() < low).select("hash") for sums in levels]
+    rest = None
+    if not all(hashes.isEmpty() for hashes in left):
+        rest = Safe()
+        for hashes in left:
+            rest.add(hashes)
+    return counted(docs, keys, rest).filter(F.col("f") >= least), words
 
 
 def _key(lang: Column, phrase: Column) -> Column:

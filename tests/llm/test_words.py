@@ -213,7 +213,7 @@ def some_texts():
 def test_collocations_as_by_all_phrases(spark, monkeypatch, small):
     docs = some_texts() + [("en", "over and over again " * 3000)]
     if small:
-        for name, value in {"BLOCK": 500, "HELD": 40, "KEYS": 400, "SAFE_BITS": 14}.items():
+        for name, value in {"BLOCK": 500, "TEXTS": 900, "HELD": 40, "KEYS": 400, "SAFE_BITS": 14}.items():
             monkeypatch.setattr(P, name, value)
         monkeypatch.setattr(P, "HUB", 3)
     df = spark.createDataFrame(docs, "lang string, text string").withColumn("phrase", F.lit(1)).withColumn("key", F.lit(1))
