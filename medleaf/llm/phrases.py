@@ -42,7 +42,7 @@ from medleaf.llm.jaccard_join import bit, cells, mix, present, runs
 from medleaf.llm.tables import HUB, _salt, _salted, tally
 
 LEAST, LONGEST, INSIDE, MOST, PARTS_PER_MILLION = 10, 3, 50, 2000, 1_000_000
-BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 24 << 20, 1_500_000, 8 << 20, 27, 1 << 14
+BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 12 << 20, 1_500_000, 2 << 20, 27, 1 << 14
 UNKNOWN = "und"
 SPACE, LINE = 32, 10
 #: Ends of pieces become line ends, white space within them spaces.
@@ -163,8 +163,8 @@ class Safe:
         self.tables: list[tuple[Broadcast, int]] = []
 
     def add(self, hashes: DataFrame) -> None:
-        """Adds a table for phrases with one more word: 16 bits for each hash (hash), up to 2^SAFE_BITS (16 MB)."""
-        bits = int(np.clip(np.ceil(np.log2(16 * hashes.count() + 1)), 14, SAFE_BITS))
+        """Adds a table for phrases with one more word: 32 bits or more for each hash (hash), up to 2^SAFE_BITS (16 MB)."""
+        bits = int(np.clip(np.ceil(np.log2(32 * hashes.count() + 1)), 14, SAFE_BITS))
         table_of = tally(hashes, lambda b: cells(b.column("hash").to_numpy(zero_copy_only=False).view(np.uint64), bits), bits, present, few=True)
         self.tables.append((hashes.sparkSession.sparkContext.broadcast(table_of), bits))
 
