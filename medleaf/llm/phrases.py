@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -43,6 +44,7 @@ from medleaf.llm.tables import HUB, _salt, _salted, tally
 
 LEAST, LONGEST, INSIDE, MOST, PARTS_PER_MILLION = 10, 3, 50, 2000, 1_000_000
 BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 12 << 20, 1_500_000, 2 << 20, 27, 1 << 14
+GROUP = 1_000_000  # words of texts whose own counts are added up in one group
 UNKNOWN = "und"
 SPACE, LINE = 32, 10
 #: Ends of pieces become line ends, white space within them spaces.
@@ -350,9 +352,9 @@ class Trie:
         total[self.key_of[k[real]]] += n[real]
 
 
-def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None) -> DataFrame:
+def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None, parts: int) -> DataFrame:
     """(lang, phrase, f) of docs (lang, text) for the phrases in keys (language, line end, words with a space behind each), and
-    for those that are safe by `rest`.
+    for those that are safe by `rest`, which are added up in `parts` groups.
     """
     trie = docs.sparkSession.sparkContext.broadcast(Trie(keys or [b"\0"]))
 
@@ -378,7 +380,7 @@ def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None) -> DataFrame:
         yield from here(main, own, held)
         total = total.reshape(-1, SUMS)
         for b in np.flatnonzero(total.any(axis=1)):
-            yield made([int(b)], [zlib.compress(total[b].tobytes(), 1)], [None], [None], [None])
+            yield made([int(b)], [zlib.compress(total[b].tobytes(), 1)], [None], [None])
 
     def here(main: Trie, own: set[bytes], held: list[tuple[bytes, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         """Counts of phrases by a trie of a task's own; those that the trie of all counts are left out."""
@@ -391,14 +393,16 @@ def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None) -> DataFrame:
         for prefix, data, starts in held:
             if (root := mine.root(prefix)) is not None:
                 mine.count(data, starts, root, total)
-        for k in range(0, len(names), 1 << 14):
-            split = [n.decode().rpartition("\n") for n in names[k : k + (1 << 14)]]
-            nothing = [None] * len(split)
-            yield made(nothing, nothing, [x[0] for x in split], [x[2][:-1] for x in split], total[k : k + (1 << 14)])
+        packed: dict[tuple[int, bytes], list[int]] = {}
+        for k, name in enumerate(names):
+            packed.setdefault((zlib.crc32(name) % parts, name[: name.rindex(b"\n")]), []).append(k)
+        for (part, lang), some in packed.items():
+            phrases = b"\n".join([names[k][len(lang) + 1 : -1] for k in some])
+            yield made([part], [total[some].tobytes()], [lang.decode()], [phrases])
 
     def made(*columns: list | np.ndarray) -> pa.RecordBatch:
-        kinds = (pa.int32(), pa.binary(), pa.string(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "counts", "lang", "phrase", "f"])
+        kinds = (pa.int32(), pa.binary(), pa.string(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "counts", "lang", "phrases"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -411,11 +415,20 @@ def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None) -> DataFrame:
             columns = [[x[0] for x in split], [x[2][:-1] for x in split], total[k]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["lang", "phrase", "f"])
 
-    found = stored(docs.mapInArrow(count, "block int, counts binary, lang string, phrase string, f long"), "counts")
-    common = found.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(add, "lang string, phrase string, f long")
+    def sum_up(rows: pd.DataFrame) -> pd.DataFrame:
+        sums: dict[str, dict[bytes, int]] = {}
+        for lang, phrases, counts in zip(rows["lang"], rows["phrases"], rows["counts"], strict=True):
+            mine = sums.setdefault(lang, {})
+            for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
+                mine[phrase] = mine.get(phrase, 0) + n
+        out = [(lang, phrase.decode(), n) for lang, mine in sums.items() for phrase, n in mine.items()]
+        return pd.DataFrame(out, columns=["lang", "phrase", "f"])
+
+    found = stored(docs.mapInArrow(count, "block int, counts binary, lang string, phrases binary"), "counts")
+    common = found.filter("lang is null").select("block", "counts").repartition("block").mapInArrow(add, "lang string, phrase string, f long")
     if rest is None:
         return common
-    return common.union(found.filter("block is null").groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+    return common.union(found.filter("lang is not null").repartition(parts, "block").groupBy("block").applyInPandas(sum_up, "lang string, phrase string, f long"))
 
 
 def _step() -> Column:
@@ -461,7 +474,8 @@ def frequencies(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
         rest = Safe()
         for hashes in left:
             rest.add(hashes)
-    return counted(docs, keys, rest).filter(F.col("f") >= least), words
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counted(docs, keys, rest, 1 + total // GROUP).filter(F.col("f") >= least), words
 
 
 def _key(lang: Column, phrase: Column) -> Column:

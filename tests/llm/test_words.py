@@ -216,6 +216,7 @@ def test_collocations_as_by_all_phrases(spark, monkeypatch, small):
         for name, value in {"BLOCK": 500, "TEXTS": 900, "HELD": 40, "KEYS": 400, "SAFE_BITS": 14}.items():
             monkeypatch.setattr(P, name, value)
         monkeypatch.setattr(P, "HUB", 3)
+        monkeypatch.setattr(P, "GROUP", 2000)
     df = spark.createDataFrame(docs, "lang string, text string").withColumn("phrase", F.lit(1)).withColumn("key", F.lit(1))
     got = sorted(map(tuple, P.collocations(df, most=40).collect()), key=repr)
     want = best_phrases(docs, most=40)
