@@ -6,8 +6,9 @@ open bin that can take it under every one of them and that scores best: the smal
 falling length, in blocks of bounded size; the pieces of bins that a block leaves poorly filled are packed again with
 those of other blocks. A piece that exceeds the cost capacity by itself has a bin of its own.
 
-The defaults bind: a bin takes MOST_DOCS documents at most and a cost of SHARE of what one full piece costs, so that
-neither crowds of tiny documents nor one nearly full piece with a scrap behind it share a sequence.
+The defaults add no sequence: a bin takes as many documents as the smallest pieces of its block could fill it with, and
+the cost of one full piece. What is left of them still tells bins apart that tokens alone leave equal: a piece goes where
+it leaves little of all three. Smaller capacities, as a model with limits of its own would have, do cost sequences.
 
 Nulls and empty texts are the end token alone, texts of any length are cut whole, rows that repeat are packed as often,
 ties in length go by id and piece, an empty table gives an empty table; columns other than doc_id and text are not
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 from medleaf.llm.common import remembered, stored, table, utf8
 
 BLOCK = 8192
-MOST_DOCS, SHARE = 48, 0.96
 
 
 class WordEncoder:
@@ -158,10 +158,15 @@ def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int, w
     return bins, offsets
 
 
+def largest_crowd(lengths: np.ndarray, capacity: int) -> int:
+    """How many pieces a bin can hold at most, at least 1."""
+    return max(1, int(np.searchsorted(np.cumsum(np.sort(lengths)), capacity, side="right")))
+
+
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long"
 
 
-def _pack_blocks(rows: DataFrame, first: int, capacity: int, max_docs: int, max_cost: int, rule: str) -> DataFrame:
+def _pack_blocks(rows: DataFrame, first: int, capacity: int, max_docs: int | None, max_cost: int, rule: str) -> DataFrame:
     blocks = max(1, -(-rows.count() // BLOCK))
 
     def pack(block: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -169,7 +174,8 @@ def _pack_blocks(rows: DataFrame, first: int, capacity: int, max_docs: int, max_
         lengths = part["length"].to_numpy()
         full = lengths >= capacity
         bins, offsets = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
-        some, at = best_fit(lengths[~full], capacity, max_docs, max_cost, rule=rule)
+        most = largest_crowd(lengths, capacity) if max_docs is None else max_docs
+        some, at = best_fit(lengths[~full], capacity, most, max_cost, rule=rule)
         bins[~full], offsets[~full] = some, at
         bins[full] = np.arange(full.sum()) + (some.max() + 1 if len(some) else 0)
         fill = np.bincount(bins, lengths).astype(np.int64)[bins]
@@ -178,13 +184,14 @@ def _pack_blocks(rows: DataFrame, first: int, capacity: int, max_docs: int, max_
     return rows.withColumn("block", F.pmod(F.xxhash64("salt"), F.lit(blocks))).groupBy("block").applyInPandas(pack, PACKED)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, max_docs: int = MOST_DOCS, max_cost: int | None = None, rule: str = "norm", again_below: float = 0.98) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, max_docs: int | None = None, max_cost: int | None = None, rule: str = "norm", again_below: float = 0.98) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row of docs.
 
     Offsets are gapless from 0 within a sequence. Rows that repeat are packed as often as they stand there; an empty
-    table gives an empty table; columns other than doc_id and text are not looked at. max_cost None: SHARE of capacity squared.
+    table gives an empty table; columns other than doc_id and text are not looked at. max_docs None: no limit of its
+    own (see above); max_cost None: capacity squared.
     """
-    cost = int(SHARE * capacity * capacity) if max_cost is None else max_cost
+    cost = capacity * capacity if max_cost is None else max_cost
     cut = stored(pieces(docs, tokenizer_path, capacity), "pieces")
     first = stored(_pack_blocks(cut, 0, capacity, max_docs, cost, rule), "packed")
     good = F.col("fill") >= int(again_below * capacity)
