@@ -10,7 +10,6 @@ from medleaf.functions.text import blank_to_null, trimmed
 
 #: Fixed value: how packages are described.
 DESCRIPTION = r"^(\d+) (.*?) in (\d+) (.*?) \(\d+-\d+-\d+\)"
-DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "MM/dd/yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "yyyy/MM/dd")
 
 
 def falsy_to_null(c: Column, kind: T.DataType) -> Column:
@@ -26,20 +25,6 @@ def falsy_to_null(c: Column, kind: T.DataType) -> Column:
     return c
 
 
-def parsed_date(c: Column) -> Column:
-    """A date in one of the known formats; null if it is in none. Its shape says which format to try, so that a text is
-    parsed once.
-    """
-    text = trimmed(c)
-    digit, slash = F.substring(text, 1, 1).between("0", "9"), F.instr(text, "/")
-    by = {f: F.try_to_date(text, f) for f in DATE_FORMATS}
-    return (
-        F.when(slash == 5, by["yyyy/MM/dd"]).when(slash > 0, by["MM/dd/yyyy"]).when(digit & F.contains(text, F.lit(" ")), by["d MMM yyyy"])
-        .when(digit & F.contains(text, F.lit("-")), by["yyyy-MM-dd"]).when(digit, by["yyyyMMdd"])
-        .when(F.instr(text, " ") == 4, by["MMM d, yyyy"]).when(F.instr(text, " ") > 0, by["MMMM d, yyyy"])
-    )
-
-
 def over_the_counter(category: Column, product_type: Column, source_types: Column) -> Column:
     """True, false or null (not said) from the marketing category, the product type and the source's own types."""
     own = F.array_join(F.coalesce(source_types, F.array().cast("array<string>")), " ")

@@ -181,18 +181,58 @@ def packages_by_rxnorm(products: DataFrame, packages: DataFrame, keys: object, i
     return packages.join(codes.distinct(), code, "left_semi")
 
 
-def _some(rows: DataFrame, limit: int) -> DataFrame:
+SALTS = 64
+
+
+def first_rows_per_key(rows: DataFrame, key: str, order: str, limit: int, salts: int = SALTS) -> DataFrame:
+    """The first `limit` rows of every key in the order of a column of distinct values.
+
+    In two steps: of the rows of a key and a salt, then of what is left of the key. Spark cuts both before their shuffles
+    too, so that no task gets more than salts * limit rows of a key, however many there are of it.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(salts)))
+    some = salted.withColumn("__n", F.row_number().over(W.partitionBy(key, "__salt").orderBy(order))).filter(F.col("__n") <= limit)
+    return some.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(order))).filter(F.col("__n") <= limit).drop("__n", "__salt")
+
+
+def evidence_bridge(evidence: DataFrame, ids: str, key: str) -> DataFrame:
+    """(key, evidence_id) of every id in an array column: narrow rows to look keys up in."""
+    return evidence.select(F.explode(F.array_distinct(ids)).alias(key), "evidence_id").filter(F.col(key).isNotNull())
+
+
+def _limited(limit: int) -> int:
     if limit < 0:
         raise ValueError("limit must not be negative")
-    return rows.orderBy("evidence_id").limit(min(limit, MOST_EVIDENCE))
+    return min(limit, MOST_EVIDENCE)
 
 
-def evidence_by_rxnorm(evidence: DataFrame, rxnorm_id: str, limit: int = EVIDENCE_ROWS) -> DataFrame:
-    return _some(evidence.filter(F.array_contains("rxnorm_ids", rxnorm_id.strip())), limit)
+def _some(rows: DataFrame, limit: int) -> DataFrame:
+    return rows.orderBy("evidence_id").limit(_limited(limit))
+
 
+def _evidence_of_keys(evidence: DataFrame, bridge: DataFrame, keys: DataFrame, key: str, limit: int) -> DataFrame:
+    """Evidence of every key of a table, with the key: at most `limit` rows of each by evidence id. Ids alone are ranked; the
+    rest of a row is fetched for those that are left.
+    """
+    wanted = keys.select(F.trim(F.col(key)).alias(key)).distinct()
+    pairs = first_rows_per_key(bridge.join(wanted, key, "left_semi"), key, "evidence_id", _limited(limit))
+    return evidence.withColumn("__id", F.col("evidence_id")).drop("evidence_id", key).join(pairs, F.col("__id") == F.col("evidence_id")).drop("__id")
 
-def evidence_by_product(evidence: DataFrame, product_ndc: str, limit: int = EVIDENCE_ROWS) -> DataFrame:
-    return _some(evidence.filter(F.array_contains("product_ndc", product_ndc.strip())), limit)
+
+def evidence_by_rxnorm(evidence: DataFrame, keys: object, limit: int = EVIDENCE_ROWS, bridge: DataFrame | None = None) -> DataFrame:
+    """Evidence of an RxNorm id; with a table of keys (rxnorm_id), at most `limit` rows of each, with the key. `bridge` is a
+    stored evidence_bridge, if there is one.
+    """
+    if isinstance(keys, DataFrame):
+        return _evidence_of_keys(evidence, evidence_bridge(evidence, "rxnorm_ids", "rxnorm_id") if bridge is None else bridge, keys, "rxnorm_id", limit)
+    return _some(evidence.filter(F.array_contains("rxnorm_ids", str(keys).strip())), limit)
+
+
+def evidence_by_product(evidence: DataFrame, keys: object, limit: int = EVIDENCE_ROWS, bridge: DataFrame | None = None) -> DataFrame:
+    """The same by product code; a table of keys has the column product_code."""
+    if isinstance(keys, DataFrame):
+        return _evidence_of_keys(evidence, evidence_bridge(evidence, "product_ndc", "product_code") if bridge is None else bridge, keys, "product_code", limit)
+    return _some(evidence.filter(F.array_contains("product_ndc", str(keys).strip())), limit)
 
 
 def evidence_by_label(evidence: DataFrame, set_id: object) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from medleaf import schemas
-from medleaf.functions.codes import described, eleven_digits, falsy_to_null, full_package_code, over_the_counter, parsed_date, short_form
+from medleaf.functions.codes import described, eleven_digits, falsy_to_null, full_package_code, over_the_counter, short_form
+from medleaf.functions.dates import parsed_date
 
 
 def _field(c: Column, name: str, kind, falsy: bool) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,6 +34,18 @@ def stage(df: DataFrame, table: str, run: str) -> str:
     return name
 
 
+def counted(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """df, and what gives the number of its rows with a key once it has been written: no job of its own counts them."""
+    seen = Observation(f"counted-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(key).alias("n")), seen
+
+
+def stage_counted(df: DataFrame, table: str, run: str, key: str) -> tuple[str, int]:
+    """Stages a table; gives its name and the number of rows with a key."""
+    rows, seen = counted(df, key)
+    return stage(rows, table, run), seen.get["n"]
+
+
 def append_new(df: DataFrame, table: str, key: str, *order: str) -> None:
     """Appends the rows whose key the table does not have; of rows that share a key, the first in the given order stands
     (in the order of all columns if none is given).
@@ -101,9 +114,8 @@ def publish_by_replacement(spark: SparkSession, table: str, run: str, test: bool
 
 def publish_products(spark: SparkSession, products: DataFrame, packages: DataFrame, expected: int, run: str, prefix: str = "") -> None:
     """Stages both tables, gates on the products, then publishes both; prefix may name a database (`db.`)."""
-    name = stage(products, f"{prefix}product", run)
+    name, count = stage_counted(products, f"{prefix}product", run, "product_id")
     stage(packages, f"{prefix}package", run)
-    count = spark.read.table(name).agg(F.count("product_id")).first()[0]
     checked(spark, name, "product_id", product_gate(count, expected)[0])
     publish_with_backup(spark, f"{prefix}product", run)
     publish_with_backup(spark, f"{prefix}package", run)
@@ -134,3 +146,29 @@ def label_bridge(labels: DataFrame) -> DataFrame:
 def laid_out(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
     """Writes a table bucketed and sorted by the key that lookups and joins use."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def sorted_by(df: DataFrame, table: str, *columns: str) -> None:
+    """Writes a table in ranges of some columns, so that a lookup reads the files and row groups that may hold its key. Unlike
+    a bucket, a range that ends in a column of distinct values splits a key that many rows have.
+    """
+    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").saveAsTable(table)
+
+
+def store_evidence(spark: SparkSession, evidence: DataFrame, run: str, prefix: str = "", least: int = LEAST_EVIDENCE, allow_empty: bool = False) -> None:
+    """Derives evidence once: stages it bucketed by its id, gates it, and publishes it with its bridges evidence_rxnorm
+    (rxnorm_id, evidence_id) and evidence_product (product_code, evidence_id).
+    """
+    from medleaf.operators.lookups import evidence_bridge
+
+    name = f"{prefix}drug_condition_evidence"
+    staged = staged_name(name, run)
+    found, seen = counted(evidence, "evidence_id")
+    laid_out(found, staged, "evidence_id")
+    checked(spark, staged, "evidence_id", evidence_gate(seen.get["n"], least, allow_empty))
+    rows = spark.read.table(staged)
+    bridges = {f"{prefix}evidence_rxnorm": ("rxnorm_ids", "rxnorm_id"), f"{prefix}evidence_product": ("product_ndc", "product_code")}
+    for bridge, (ids, key) in bridges.items():
+        sorted_by(evidence_bridge(rows, ids, key), staged_name(bridge, run), key, "evidence_id")
+    for table in (*bridges, name):
+        publish_by_replacement(spark, table, run)

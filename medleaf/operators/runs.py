@@ -107,19 +107,35 @@ def with_estimates(live: DataFrame, now: Column) -> DataFrame:
     return out.withColumn("estimated_finish_at", finish).drop("__done")
 
 
+def after_last_gap(updates: DataFrame, run: str, at: str, keep_seconds: int = KEEP_SECONDS) -> DataFrame:
+    """Updates after the last time that a run had none for longer than keep_seconds.
+
+    Gaps show between the days on which a run has updates: as days are no longer than keep_seconds, none lies within one.
+    Days are aggregated first, so that a run's updates do not meet in one task.
+    """
+    day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (keep_seconds * 1_000_000 / 2)).alias("__day")
+    days = updates.groupBy(run, day).agg(F.min(at).alias("__low"), F.max(at).alias("__high"))
+    before = F.lag("__high").over(W.partitionBy(run).orderBy("__day"))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    gap = micros(F.col("__low")) - micros(before) > keep_seconds * 1_000_000
+    since = days.withColumn("__gap", gap).groupBy(run).agg(F.max(F.when(F.col("__gap"), F.col("__low"))).alias("__since"))
+    return updates.join(since, run).filter(F.col("__since").isNull() | (F.col(at) >= F.col("__since"))).drop("__since")
+
+
 def latest_progress(updates: DataFrame, now: Column, run: str = "run_id", seq: str = "seq", at: str = "updated_at") -> DataFrame:
     """The last update of each run, with its earliest start and its last known importer, source and confidence; hidden
     when it is stale.
 
     An update takes over from those before it if it has a start, or done and total counts, or no known importer; any other
-    one begins anew. A source or confidence that is not given is DEFAULTS', one that is empty or "unknown" is taken over.
+    one begins anew, and so does one that comes more than KEEP_SECONDS after the one before, as progress is kept no longer.
+    A source or confidence that is not given is DEFAULTS', one that is empty or "unknown" is taken over.
     """
     carried = [c for c in ("importer", "source", "confidence") if c in updates.columns]
     names = [c for c in updates.columns if c not in (run, seq, "started_at", *carried)]
     filled = {c: F.coalesce(F.col(c), F.lit(DEFAULTS[c])) for c in carried}
     counted = F.col("done").isNotNull() & F.col("total").isNotNull() if {"done", "total"} <= set(updates.columns) else F.lit(False)
     joins = F.col("started_at").isNotNull() | counted | (filled["importer"] == "unknown")
-    rows = updates.withColumns(filled)
+    rows = after_last_gap(updates, run, at).withColumns(filled)
     anew = rows.groupBy(run).agg(F.max(F.when(~joins, F.col(seq))).alias("__from"))
     rows = rows.join(anew, run).filter(F.col("__from").isNull() | (F.col(seq) >= F.col("__from")))
     known = {c: ~F.col(c).isin("", "unknown") for c in carried}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def new_database(spark: SparkSession) -> str:
+    """A database of its own for each run."""
+    name = f"medleaf_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part: generic and brand names (own, other, none), RxNorm ids from brand and type."""
     key = F.col("p_partkey")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medleaf.functions.text import display_name
 from medleaf.operators import lookups as L
-from medleaf.plans.bindings import PACKAGES, PRODUCTS, packages, products, table
+from medleaf.operators import names as N
+from medleaf.operators import pages
+from medleaf.plans.bindings import PACKAGES, PRODUCTS, new_database, packages, products, shared_folder, table
 
 NAME = "Red%20WIDGET"
 _MATCH = """
@@ -28,6 +32,32 @@ def name_search_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.search(products(spark, sf_dir), packages(spark, sf_dir), NAME)
 
 
+def _patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that part asks for: its own, some letters of them with wildcards before, within and behind, and its types."""
+    name, like = F.col("p_name"), lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    asked = F.array(
+        name, like("%", F.split_part(name, F.lit(" "), F.lit(2))), like(F.substring(name, 1, 1), "%"), like("_", F.substring(name, 2, 100)), like("%", F.right(name, F.lit(2))),
+        like(F.substring(name, 1, 2), "%", F.right(name, F.lit(1))), F.initcap("p_type"), like(F.substring("p_type", 1, 3), "____"), like("%", F.substring(name, 3, 2), "_", F.substring(name, 6, 1), "%"), F.lit("________"),
+    )
+    rows = table(spark, sf_dir, "part").select(F.explode(asked).alias("pattern")).distinct()
+    return rows.select(F.replace(F.replace("pattern", F.lit("%"), F.lit("%25")), F.lit(" "), F.lit("%20")).alias("name"))
+
+
+def name_search_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of a table of names, by a stored index of name grams."""
+    rows, index = products(spark, sf_dir), f"{new_database(spark)}.name_grams"
+    N.store_name_grams(spark, rows, index, 16)
+    found = N.search_names(rows, None, _patterns(spark, sf_dir), grams=spark.read.table(index), counts=spark.read.table(f"{index}_counts"))
+    return found.select("name", "product_ndc", "generic_name", "brand_name", "match_group")
+
+
+_PATTERNS = """
+pat AS (SELECT DISTINCT unnest([p_name, '%' || split_part(p_name, ' ', 2), p_name[1] || '%', '_' || p_name[2:], '%' || right(p_name, 2), p_name[1:2] || '%' || right(p_name, 1),
+  upper(p_type[1]) || lower(p_type[2:]), p_type[1:3] || '____', '%' || p_name[3:4] || '_' || p_name[6] || '%', '________']) AS pattern FROM part),
+pm AS (SELECT DISTINCT pattern, generic_name FROM pat JOIN (SELECT DISTINCT generic_name, brand_name FROM product) ON brand_name ILIKE pattern OR generic_name ILIKE pattern),
+pc AS (SELECT DISTINCT pattern, product_ndc, CASE WHEN lower(generic_name) = lower(brand_name) OR brand_name IS NULL THEN 'generic' ELSE 'brand' END AS match_group FROM pm JOIN product USING (generic_name))"""
+
+
 def matching_generic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.matching_generic_names(products(spark, sf_dir), "%w_dget")
 
@@ -43,6 +73,24 @@ def list_all_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.list_products(products(spark, sf_dir), size=40, page=3).select("product_ndc", "generic_name", "brand_name", "display_name")
 
 
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three pages of a stored listing of all packages by product name: the first, one in the middle and the last."""
+    folder = f"{shared_folder(spark)}/listing-{uuid.uuid4().hex}"
+    names = products(spark, sf_dir).select("product_ndc", "generic_name", "brand_name")
+    rows = packages(spark, sf_dir).select("package_ndc", "product_ndc").join(names, "product_ndc")
+    order = ["generic_name", "brand_name", "package_ndc"]
+    pages.store_listing(rows, folder, *order, ranges=32)
+    last = (rows.count() - 1) // 700
+    found = [pages.stored_page(spark, folder, order, 700, k).select(F.lit(name).alias("page"), *order) for name, k in (("first", -1), ("middle", last // 2), ("last", last))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+STORED_PAGES = f"""
+WITH {PRODUCTS}, {PACKAGES}, o AS (SELECT generic_name, brand_name, package_ndc, row_number() OVER (ORDER BY generic_name NULLS LAST, brand_name NULLS LAST, package_ndc) - 1 AS place FROM package JOIN product USING (product_ndc)),
+n AS (SELECT (count(*) - 1) // 700 AS last FROM o)
+SELECT p.page, generic_name, brand_name, package_ndc FROM o, n, (VALUES ('first'), ('middle'), ('last')) AS p(page) WHERE place // 700 = CASE page WHEN 'first' THEN 0 WHEN 'middle' THEN last // 2 ELSE last END"""
+
+
 def list_by_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.list_products_by_letter(products(spark, sf_dir), "B", size=25, page=-1).select("product_ndc", "generic_name", "brand_name")
 
@@ -112,6 +160,10 @@ LOOKUP_QUERIES = {
         f"WITH {PRODUCTS}, {PACKAGES}, {_MATCH} SELECT generic_name, brand_name, dosage_form, short_dosage_form, package_ndc, description AS package_description, size, size_extra, "
         "packages_number, package_format, match_group FROM product JOIN c USING (product_ndc) JOIN package USING (product_ndc)",
     ),
+    "name_search_table": (
+        name_search_table,
+        f"WITH {PRODUCTS}, {_PATTERNS} SELECT replace(replace(pattern, '%', '%25'), ' ', '%20') AS name, product_ndc, generic_name, brand_name, match_group FROM product JOIN pc USING (product_ndc)",
+    ),
     "matching_generic_names": (matching_generic_names, f"WITH {PRODUCTS} SELECT DISTINCT generic_name FROM product WHERE brand_name ILIKE '%w_dget' OR generic_name ILIKE '%w_dget'"),
     "list_all_page": (
         list_all_page,
@@ -123,6 +175,7 @@ LOOKUP_QUERIES = {
         f"WITH {PRODUCTS} SELECT product_ndc, generic_name, brand_name, CASE WHEN lower(brand_name) <> lower(generic_name) THEN brand_name ELSE generic_name END AS display_name "
         "FROM product ORDER BY generic_name NULLS LAST, brand_name NULLS LAST, product_ndc NULLS LAST LIMIT 40 OFFSET 120",
     ),
+    "stored_pages": (stored_pages, STORED_PAGES),
     "list_by_letter": (list_by_letter, f"WITH {PRODUCTS} SELECT product_ndc, generic_name, brand_name FROM product WHERE generic_name ILIKE 'b%' ORDER BY generic_name, brand_name NULLS LAST, product_ndc LIMIT 25"),
     "display_names": (display_names, f"WITH {PRODUCTS} SELECT product_id, CASE WHEN lower(brand_name) <> lower(generic_name) THEN brand_name ELSE generic_name END AS display_name FROM product"),
     "status_counts": (status_counts, "SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM lineitem) AS packages"),

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medleaf import schemas
-from medleaf.functions.codes import described, eleven_digits, falsy_to_null, full_package_code, over_the_counter, parsed_date, short_form
+from medleaf.functions.codes import described, eleven_digits, falsy_to_null, full_package_code, over_the_counter, short_form
+from medleaf.functions.dates import parsed_date
 from medleaf.functions.text import redacted
 from medleaf.operators import hygiene, publish
 from medleaf.operators import labels as label_ops
@@ -183,6 +184,25 @@ def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 DATE_PARSE = "SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 5 <> 3 THEN strftime(l_shipdate, '%Y-%m-%d') END AS day FROM lineitem"
 
 
+#: Forms of a day in l_shipdate: Spark's date pattern around literal text, and whether the day is read.
+DATE_FORMS = (
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", 1), ("d MMM yyyy", 1), ("'effective 'MMMM d, yyyy 'at' HH:mm", 1), ("M/d/yyyy h:mm a", 1), ("dd-MMM-yy", 1), ("'the 'd'th of 'MMMM', 'yyyy", 1), ("yyyy.M.d", 1),
+    ("MMM'. 'd yyyy", 1), ("yyyyMMddHHmm", 1), ("M-d-yy", 1), ("MMMM yyyy", 2), ("'no date, code 'd", 0), ("yyyy'-13-32'", 0), ("yyyy/MM/dd", 1),
+)
+
+
+def date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship dates in many shapes, with words and times around them; of those without a day it is today's."""
+    day, kind, text = F.col("l_shipdate"), (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % len(DATE_FORMS), F.lit(None).cast("string")
+    for k, (form, _) in enumerate(DATE_FORMS):
+        text = F.when(kind == k, F.date_format(day, form)).otherwise(text)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.date_format(parsed_date(text, F.lit("2024-01-31").cast("date")), "yyyy-MM-dd").alias("day"))
+
+
+_FORM_OF = " ".join(f"WHEN {k} THEN {('NULL', 'l_shipdate::DATE', 'last_day(l_shipdate)')[kind]}" for k, (_, kind) in enumerate(DATE_FORMS))
+DATE_FORMS_SQL = f"SELECT l_orderkey, l_linenumber, strftime(CASE (l_orderkey * 7 + l_linenumber) % {len(DATE_FORMS)} {_FORM_OF} END, '%Y-%m-%d') AS day FROM lineitem"
+
+
 def dedupe_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_ops.last_per_key(table(spark, sf_dir, "events"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
 
@@ -271,6 +291,7 @@ RECORD_QUERIES = {
     "otc_flag": (otc_flag, OTC_FLAG),
     "falsy_fields": (falsy_fields, FALSY_FIELDS),
     "date_parse": (date_parse, DATE_PARSE),
+    "date_forms": (date_forms, DATE_FORMS_SQL),
     "dedupe_last": (dedupe_last, "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"),
     "gate_counts": (gate_counts, GATE_COUNTS),
     "bridge_products": (bridge_products, f"WITH {PRODUCTS} SELECT DISTINCT unnest(rxnorm_ids) AS rxcui, product_ndc FROM product"),

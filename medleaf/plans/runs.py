@@ -49,10 +49,10 @@ def run_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.run_by_id(_runs(spark, sf_dir), "run-42").select("run_id", "created_at", "status", "importer")
 
 
-def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as progress updates of the runs with the users' numbers."""
+def _updates(events: DataFrame) -> DataFrame:
+    """Events as progress updates of the runs with the users' numbers."""
     kind, id_ = F.col("event_type"), F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), id_.alias("seq"), F.col("ts").alias("updated_at"),
         F.when(kind == "signup", F.col("ts")).alias("started_at"), F.when(kind == "error", "unknown").otherwise(kind).alias("importer"), F.lit("running").alias("status"), kind.alias("phase"),
         F.lit("rows").alias("unit"), F.when(id_ % 7 != 0, F.round("value")).alias("done"), F.lit(20.0).alias("total"), F.lit(None).cast("double").alias("pct"), F.lit(None).cast("double").alias("elapsed_seconds"),
@@ -61,23 +61,25 @@ def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# An update with neither a start nor both counts, whose importer is known, takes nothing over from those before it.
+# An update with neither a start nor both counts, whose importer is known, takes nothing over from those before it; nor does
+# one more than two days after the one before.
 _LIVE = """
 u AS (SELECT 'run-' || user_id AS run_id, event_id AS seq, ts, event_type, CASE WHEN event_id % 7 <> 0 THEN round(value) END AS done, CASE event_id % 3 WHEN 0 THEN 'unknown' WHEN 1 THEN 'src-' || event_type ELSE 'import-live-progress' END AS source,
   CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'low' ELSE 'live' END AS confidence, CASE WHEN event_id % 11 = 0 THEN value - 3 END AS eta FROM events),
-a AS (SELECT *, max(seq) FILTER (event_type NOT IN ('signup', 'error') AND done IS NULL) OVER (PARTITION BY run_id) AS anew FROM u),
+b AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run_id ORDER BY seq)) > 172800000000 AS gap FROM u),
+a AS (SELECT *, max(seq) FILTER ((event_type NOT IN ('signup', 'error') AND done IS NULL) OR gap) OVER (PARTITION BY run_id) AS anew FROM b),
 l AS (SELECT run_id, max_by(ts, seq) AS updated_at, min(ts) FILTER (event_type = 'signup') AS started_at, coalesce(max_by(event_type, seq) FILTER (event_type <> 'error'), 'unknown') AS importer,
   coalesce(max_by(source, seq) FILTER (source <> 'unknown'), 'unknown') AS source, coalesce(max_by(confidence, seq) FILTER (confidence <> ''), '') AS confidence,
   max_by(event_type, seq) AS phase, arg_max_null(done, seq) AS done, 20.0::DOUBLE AS total, arg_max_null(eta, seq) AS eta FROM a WHERE anew IS NULL OR seq >= anew GROUP BY run_id)"""
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.latest_progress(_updates(spark, sf_dir), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    return R.latest_progress(_updates(table(spark, sf_dir, "events")), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def latest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last update of each run that is not stale a day after the last event of most."""
-    updates = _updates(spark, sf_dir)
+    updates = _updates(table(spark, sf_dir, "events"))
     now = F.lit(str(updates.agg(F.max("updated_at")).first()[0])).cast("timestamp_ntz")
     return R.latest_progress(updates, now).select("run_id", "updated_at", "started_at", "importer", "source", "confidence", "phase", "done")
 
@@ -126,32 +128,32 @@ WITH {_RUNS} SELECT run_id, 'run' AS unit, CASE WHEN status = 'succeeded' THEN 1
 def live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live progress of every run from its updates as a stream, read to its end."""
     path = f"{shared_folder(spark)}/live-{uuid.uuid4().hex}"
-    schema, kind = table(spark, sf_dir, "events").schema, F.col("event_type")
+    schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    updates = events.select(
-        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), "event_id", F.col("ts").cast("timestamp").alias("updated_at"), F.when(kind == "signup", F.col("ts")).cast("timestamp").alias("started_at"),
-        F.when(kind == "error", "unknown").otherwise(kind).alias("importer"), F.lit("running").alias("status"), kind.alias("phase"), F.round("value").alias("done"), F.lit(20.0).alias("total"),
-    )
+    updates = _updates(events).withColumnRenamed("seq", "event_id")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
 
-    query = P.live_progress_stream(updates).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
+    P.read_to_end(spark, P.live_progress_stream(updates).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/state"))
     out = spark.read.schema(f"{P.LIVE}, batch int").option("basePath", f"{path}/out").parquet(f"{path}/out")
-    last = out.groupBy("run_id").agg(F.max_by(F.struct("importer", "phase", "done", "pct"), "batch").alias("r"))
-    return last.select("run_id", "r.importer", "r.phase", "r.done", F.round("r.pct", 6).alias("pct"))
+    shown = [c for c in ("updated_at", "started_at", "importer", "source", "confidence", "phase", "unit", "done", "pct", "eta_seconds", "estimated_finish_at")]
+    last = out.groupBy("run_id").agg(F.max_by(F.struct(*shown), "batch").alias("r")).select("run_id", "r.*")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("updated_at", "started_at")}
+    finish = F.date_trunc("second", "estimated_finish_at").cast("timestamp_ntz")
+    return last.withColumns({**times, "pct": F.round("pct", 6), "eta_seconds": F.round("eta_seconds", 3), "finish_second": finish}).drop("estimated_finish_at")
 
 
-LIVE_PROGRESS = """
-SELECT 'run-' || user_id AS run_id, coalesce(max_by(event_type, (ts, event_id)) FILTER (event_type <> 'error'), 'unknown') AS importer, max_by(event_type, (ts, event_id)) AS phase, max_by(round(value), (ts, event_id)) AS done,
-  round(greatest(0.0, least(100.0 * max_by(round(value), (ts, event_id)) / 20.0, 99.9)), 6) AS pct FROM events GROUP BY user_id
+LIVE_PROGRESS = f"""
+WITH {_LIVE}, e AS (SELECT *, coalesce(eta, CASE WHEN total > done AND done > 0 AND started_at < updated_at THEN (total - done) * ((epoch_us(updated_at) - epoch_us(started_at)) / 1e6 / done) END) AS left_ FROM l)
+SELECT run_id, updated_at, started_at, importer, source, confidence, phase, 'rows' AS unit, done, CASE WHEN done IS NOT NULL THEN round(greatest(0.0, least(done / total * 100, 99.9)), 6) END AS pct, round(left_, 3) AS eta_seconds,
+  CASE WHEN left_ >= 0 THEN date_trunc('second', make_timestamp(epoch_us(updated_at) + round(left_ * 1e6)::BIGINT)) END AS finish_second FROM e
 """
 
 
 def progress_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress of every event as JSON, null fields left out."""
-    rows = _updates(spark, sf_dir)
+    rows = _updates(table(spark, sf_dir, "events"))
     done = F.when(F.col("seq") % 3 != 0, F.col("done").cast("long"))
     return rows.select("seq", R.progress_json({"unit": F.when(F.col("seq") % 2 == 0, F.col("unit")), "done": done, "phase": F.col("phase")}).alias("progress"), R.estimate_json({"eta_seconds": done}).alias("estimate"))
 

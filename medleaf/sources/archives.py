@@ -30,8 +30,13 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
-    """The members of the array under the key `results` of a JSON object, as they are written there, one after the other
-    and without holding the document. Only the object's own key counts, not one of that name further in; a document
+    """The members of the array under the key `results` of a JSON object, as they are written there (see members)."""
+    return (written for written, _ in members(text, piece))
+
+
+def members(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[tuple[str, object]]:
+    """The members of the array under the key `results` of a JSON object, as they are written there and as values, one after
+    the other and without holding the document. Only the object's own key counts, not one of that name further in; a document
     without it gives nothing, and one that is cut short raises ValueError.
     """
     decoder, buffer, ended = json.JSONDecoder(), "", False
@@ -43,13 +48,13 @@ def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
             ended = not (buffer := text.read(piece))
         return buffer[:1]
 
-    def value() -> str:
-        """The next value, as it is written."""
+    def value() -> tuple[str, object]:
+        """The next value, as it is written and as it is."""
         nonlocal buffer, ended
         while True:
             try:
                 upcoming()
-                end = decoder.raw_decode(buffer)[1]
+                decoded, end = decoder.raw_decode(buffer)
                 if not ended and (end == len(buffer) or buffer[end] not in ",:]} \t\r\n"):
                     raise ValueError  # a number may go on
             except ValueError:
@@ -59,7 +64,7 @@ def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
                 buffer, ended = buffer + new, not new
                 continue
             found, buffer = buffer[:end], buffer[end:]
-            return found
+            return found, decoded
 
     def past(*marks: str) -> str:
         nonlocal buffer
@@ -73,7 +78,7 @@ def results(text: io.TextIOBase, piece: int = 1 << 20) -> Iterator[str]:
     past("{")
     mark = "," if upcoming() != "}" else past("}")
     while mark == ",":
-        key = json.loads(value())
+        key = value()[1]
         past(":")
         if key == "results" and upcoming() == "[":
             past("[")

@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medleaf.operators import products as P
 from medleaf.operators import publish
+from medleaf.sources import archives
+
+
+#: What the source of whole files gives.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landed_records(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -18,6 +24,44 @@ def landed_records(spark: SparkSession, folder: str, schema: T.StructType) -> Da
     return spark.readStream.schema(whole).option("multiLine", True).json(folder).select(F.col("_metadata.file_name").alias("archive"), F.posexplode("results").alias("pos", "record"))
 
 
+def landed_archives(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """A stream of (archive, pos, record) from zip archives that land in a folder, each holding one such document. An archive
+    is held by one task; maxFilesPerTrigger of the source bounds a batch.
+    """
+    return archives.unzipped(spark.readStream.format("binaryFile").schema(FILES).load(folder).select("path", "content"), schema)
+
+
+def ingest_together(records: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], folder: str, checkpoint: str) -> None:
+    """Reads a stream of records once, until all that has landed is read, and feeds several tables from it: `sinks` says how
+    each is made of records (archive, pos, record), keeping archive and pos.
+
+    Each batch has a folder of its own in each table, which it overwrites when it is tried again, and an entry in a ledger,
+    written last; only batches in the ledger count. So a batch that fails between two tables adds nothing, and nothing
+    twice when it is tried again.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # unzipped once for all tables
+        try:
+            for name, made in sinks.items():
+                made(batch).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
+            batch.sparkSession.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{folder}/ledger/batch={number}")
+        finally:
+            batch.unpersist()
+
+    records.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingested(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """The rows of a table that ingest_together has fed. Of rows that share a key, those of the first batch stand; within
+    it, the last in the order of archive and position.
+    """
+    done = spark.read.parquet(f"{folder}/ledger").select("batch").distinct()
+    rows = spark.read.parquet(f"{folder}/{name}").join(done, "batch", "left_semi").filter(F.col(key).isNotNull())
+    first = W.partitionBy(key).orderBy("batch", F.desc("archive"), F.desc("pos"))
+    return rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "batch", "archive", "pos")
+
+
 def ingest(records: DataFrame, normal: Callable[[DataFrame], DataFrame], table: str, run: str, key: str, checkpoint: str) -> int:
     """Appends what is new to the staged copy of a table, batch by batch, until all that has landed is read. Gives the
     number of staged rows.

@@ -8,12 +8,16 @@ time, with a state of three values.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 #: Fixed values.
 TERMINAL = frozenset(("succeeded", "failed", "canceled", "cancelled", "dead_letter"))
@@ -78,41 +82,153 @@ def throttled_stream(events: DataFrame, seconds: float = INTERVAL_SECONDS) -> Da
     return rows.groupBy("run_id").applyInPandasWithState(fold, EVENT, "ts timestamp, status string, phase string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-LIVE = "run_id string, updated_at timestamp, started_at timestamp, importer string, status string, phase string, done double, total double, pct double, eta_seconds double"
+UPDATE = (
+    "run_id string, event_id long, updated_at timestamp, started_at timestamp, importer string, source string, confidence string, status string, phase string, "
+    "unit string, message string, label string, done double, total double, pct double, elapsed_seconds double, eta_seconds double"
+)
+LIVE = (
+    "run_id string, updated_at timestamp, started_at timestamp, importer string, source string, confidence string, status string, phase string, unit string, "
+    "message string, label string, done double, total double, pct double, eta_seconds double, estimated_finish_at timestamp, stale boolean"
+)
+DEFAULTS = {"importer": "unknown", "source": "import-live-progress", "confidence": "live", "status": "running"}
+CARRIED = ("importer", "source", "confidence")
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LATE_SECONDS, STALE_SECONDS, MICROS = 3600.0, 90, 1_000_000
 
 
-def live_progress_stream(updates: DataFrame) -> DataFrame:
-    """The last progress of every run of a stream of updates, with its earliest start and last known importer, percentage
-    and time left; state is given up KEEP_SECONDS after the last update, on the watermark's clock.
+def carried(before: dict | None, update: dict) -> dict:
+    """What an update leaves for the next one: its time, its start, importer, source and confidence.
 
-    updates: (run_id, event_id, updated_at, started_at, importer, status, phase, done, total).
+    An update takes over from the one before, unless that is KEEP_SECONDS old or the update has neither a start nor both
+    counts and knows its importer: the earliest start, and what it does not know itself.
+    """
+    now = {"at": update["updated_at"], "started_at": update["started_at"]} | {c: DEFAULTS[c] if update[c] is None else update[c] for c in CARRIED}
+    joins = update["started_at"] is not None or (update["done"] is not None and update["total"] is not None) or now["importer"] == "unknown"
+    if before is None or not joins or now["at"] - before["at"] > KEEP_SECONDS * MICROS:
+        return now
+    for c in CARRIED:
+        if now[c] in ("", "unknown"):
+            now[c] = before[c] or now[c]
+    starts = [x for x in (before["started_at"], now["started_at"]) if x is not None]
+    return now | {"started_at": min(starts, default=None)}
+
+
+def merged_late(before: dict | None, update: dict) -> dict:
+    """The same for an update that is older than what was kept apart: it can only add an earlier start, and what is not known
+    yet.
+    """
+    if before is None or before["at"] - update["updated_at"] > KEEP_SECONDS * MICROS:
+        return before or carried(None, update)
+    starts = [x for x in (before["started_at"], update["started_at"]) if x is not None]
+    known = {c: update[c] if before[c] in ("", "unknown") and update[c] not in (None, "") else before[c] for c in CARRIED}
+    return before | known | {"started_at": min(starts, default=None)}
+
+
+def _shown(run: object, update: dict, kept: dict, stale: bool = False) -> pd.DataFrame:
+    """The row of LIVE of a run's last update."""
+    status = update["status"] or DEFAULTS["status"]
+    ended = status.lower() in TERMINAL
+    done, total, pct, eta = (update[c] for c in ("done", "total", "pct", "eta_seconds"))
+    if pct is None and done is not None and total is not None and total > 0:
+        pct = 100.0 * done / total
+    if pct is not None:
+        pct = 100.0 if ended else max(0.0, min(pct, 99.9))
+    if eta is not None and not math.isfinite(eta):
+        eta = None
+    if eta is None and not ended and done is not None and total is not None and total > done > 0:
+        spent = update["elapsed_seconds"]
+        if spent is None and kept["started_at"] is not None:
+            spent = (update["updated_at"] - kept["started_at"]) / MICROS
+        if spent is not None and spent > 0:
+            eta = (total - done) * spent / done
+    if ended and done is None:
+        done = total
+    time = lambda x: None if x is None else pd.Timestamp(int(x), unit="us")
+    finish = time(update["updated_at"] + round(eta * MICROS)) if eta is not None and eta >= 0 else None
+    row = (run, time(update["updated_at"]), time(kept["started_at"]), *(kept[c] for c in CARRIED), status, *(update[c] for c in ("phase", "unit", "message", "label")), done, total, pct, eta, finish, stale)
+    return pd.DataFrame([row], columns=[c.split()[0] for c in LIVE.split(", ")])
+
+
+class LiveProgress(StatefulProcessor):
+    """A run's state is what updates up to a time left (`kept`), and the updates since then (`recent`), as JSON. Updates are
+    kept apart for `late` seconds, so that those which arrive in another order give what they give in theirs. State is given
+    up KEEP_SECONDS after its last change, by the clock.
     """
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        started, importer = state.get if state.exists else (None, "unknown")
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(["updated_at", "event_id"])
-        for e in rows.itertuples(index=False):
-            if e.importer and e.importer != "unknown" and pd.isna(e.started_at) and (pd.isna(e.done) or pd.isna(e.total)):
-                started = None  # such an update takes nothing over
-            if not pd.isna(e.started_at):
-                started = e.started_at if started is None else min(started, e.started_at)
-            if e.importer and e.importer != "unknown":
-                importer = e.importer
-        last = rows.iloc[-1]
-        ended = (last.status or "").lower() in TERMINAL
-        done, total, pct, eta = last.done, last.total, None, None
-        if not pd.isna(done) and not pd.isna(total) and total > 0:
-            pct = 100.0 if ended else max(0.0, min(100.0 * done / total, 99.9))
-            spent = (last.updated_at - started).total_seconds() if started is not None else 0
-            if not ended and total > done > 0 and spent > 0:
-                eta = (total - done) * spent / done
-        if ended and pd.isna(done) and not pd.isna(total):
-            done = total
-        state.update((started, importer))
-        state.setTimeoutTimestamp(max(int(last.updated_at.timestamp() * 1000), state.getCurrentWatermarkMs()) + KEEP_SECONDS * 1000)
-        yield pd.DataFrame([(key[0], last.updated_at, started, importer, last.status, last.phase, done, total, pct, eta)], columns=[c.split()[0] for c in LIVE.split(", ")])
-
-    return updates.withWatermark("updated_at", "1 hour").groupBy("run_id").applyInPandasWithState(fold, LIVE, "started_at timestamp, importer string", "update", GroupStateTimeout.EventTimeTimeout)
+    def __init__(self, late: float) -> None:
+        self.late = late
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", "row string", KEEP_SECONDS * 1000)
+        self.recent = handle.getListState("recent", "row string", KEEP_SECONDS * 1000)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        kept = json.loads(self.kept.get()[0]) if self.kept.exists() else None
+        recent = [json.loads(x[0]) for x in self.recent.get()] if self.recent.exists() else []
+        for batch in rows:
+            recent += [_plain(r) for r in batch.to_dict("records")]
+            recent, kept = self._settled(recent, kept)
+        self.recent.put([(json.dumps(u),) for u in recent])
+        if kept is not None:
+            self.kept.update((json.dumps(kept),))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + STALE_SECONDS * 1000)
+        yield self._last(key, recent, kept)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        kept = json.loads(self.kept.get()[0]) if self.kept.exists() else None
+        if self.recent.exists():
+            yield self._last(key, [json.loads(x[0]) for x in self.recent.get()], kept, stale=True)
+
+    def close(self) -> None:
+        pass
+
+    def _settled(self, recent: list[dict], kept: dict | None) -> tuple[list[dict], dict | None]:
+        recent = sorted(recent, key=lambda u: (u["updated_at"], u["event_id"]))
+        until = recent[-1]["updated_at"] - self.late * MICROS
+        for u in [u for u in recent[:-1] if u["updated_at"] <= until]:
+            kept = merged_late(kept, u) if kept is not None and u["updated_at"] < kept["at"] else carried(kept, u)
+        return [u for u in recent[:-1] if u["updated_at"] > until] + recent[-1:], kept
+
+    @staticmethod
+    def _last(key: tuple, recent: list[dict], kept: dict | None, stale: bool = False) -> pd.DataFrame:
+        for u in recent:
+            kept = carried(kept, u)
+        return _shown(key[0], recent[-1], kept, stale)
+
+
+def _plain(row: dict) -> dict:
+    """An update with nulls as None and times in microseconds."""
+    out = {c: None if pd.isna(v) else v for c, v in row.items()}
+    return out | {c: None if out[c] is None else out[c].value // 1000 for c in ("updated_at", "started_at")} | {"event_id": None if out["event_id"] is None else int(out["event_id"])}
+
+
+def live_progress_stream(updates: DataFrame, late_seconds: float = LATE_SECONDS) -> DataFrame:
+    """The progress of every run of a stream of updates (some columns of UPDATE), whenever it changes: the last update, with
+    what those before it left. `stale` rows come STALE_SECONDS after a run's last batch, by the clock.
+
+    Updates may come in any order: within `late_seconds` of a run's last one they give what they would give in order, and
+    later ones still add their start and what is not known yet. None is dropped.
+
+    Needs the RocksDB state store. With timers by the clock there is always another batch, so that a trigger that ends when
+    all is read needs batches without data switched off (see read_to_end).
+    """
+    have = set(updates.columns)
+    columns = [F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in UPDATE.split(", "))]
+    rows = updates.select(*columns).filter("updated_at is not null and trim(run_id) <> ''").withColumns({"run_id": F.trim("run_id"), "event_id": F.coalesce("event_id", F.lit(0))})
+    return rows.groupBy("run_id").transformWithStateInPandas(LiveProgress(late_seconds), LIVE, "Update", "ProcessingTime")
+
+
+def read_to_end(spark: SparkSession, writer: DataStreamWriter) -> None:
+    """Runs a stream with timers by the clock until all that is there has been read."""
+    settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false", "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

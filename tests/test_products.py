@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from medleaf import schemas
-from medleaf.functions import codes
+from medleaf.functions import codes, dates
 from medleaf.operators import labels as L
 from medleaf.operators import products as P
 from medleaf.sources import archives
@@ -63,7 +63,7 @@ def test_over_the_counter(spark, category, kind, own, flag):
 
 def test_dates(spark):
     texts = ["20200131", "2020-01-31", "01/31/2020", "Jan 31, 2020", "January 31, 2020", "20209999", "", None]
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(codes.parsed_date(F.col("t"))).collect()]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(dates.parsed_date(F.col("t"))).collect()]
     assert got == [datetime.date(2020, 1, 31)] * 5 + [None] * 3
 
 

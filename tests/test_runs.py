@@ -122,16 +122,6 @@ def test_throttle_stream(spark, tmp_path):
     assert {r.event_id for r in got} == SENT
 
 
-def test_live_progress_stream(spark, tmp_path):
-    schema = "run_id string, event_id long, updated_at timestamp, started_at timestamp, importer string, status string, phase string, done double, total double"
-    first = [("a", 1, at(0), at(0), "ndc", "running", "p", 1.0, 10.0)]
-    then = [("a", 2, at(20), at(5), "unknown", "running", "p2", 5.0, 10.0), ("b", 3, at(20), None, None, "succeeded", "p", None, 4.0)]
-    got = {(r.run_id, r.phase): r for r in streamed(spark, tmp_path, [first, then], schema, P.live_progress_stream, "update")}
-    last = got["a", "p2"]
-    assert (last.started_at, last.importer, last.pct, last.eta_seconds) == (at(0), "ndc", 50.0, 20.0)
-    assert (got["b", "p"].done, got["b", "p"].importer) == (4.0, "unknown")
-
-
 def test_hygiene(spark):
     docs = spark.createDataFrame([(1, "an Agentic token = 'abcdefgh1'"), (2, "sk-" + "a" * 20), (3, "x\0 agentic"), (4, None), (5, "postgres://u:p@h"), (6, "agentics")], "id int, text string")
     assert rows(hygiene.scan_texts(docs, "id", "text")) == [("agentic-development-reference", 1), ("database-url-with-password", 5), ("openai-token", 2), ("password-assignment", 1)]
