@@ -207,7 +207,8 @@ def _limited(limit: int) -> int:
 
 
 def _some(rows: DataFrame, limit: int) -> DataFrame:
-    return rows.orderBy("evidence_id").limit(_limited(limit))
+    most = _limited(limit)
+    return rows.orderBy("evidence_id").limit(most)
 
 
 def _evidence_of_keys(evidence: DataFrame, bridge: DataFrame, keys: DataFrame, key: str, limit: int) -> DataFrame:
