@@ -10,6 +10,7 @@ from medleaf.llm.mixing import op1_pivotal_mix
 from medleaf.llm.mpeg_audio import op3_mpeg_audio
 from medleaf.llm.near_dedup import op11_circulant_minhash
 from medleaf.llm.packing import op6_vector_best_fit
+from medleaf.llm.pairs_sql import linked_sql
 from medleaf.llm.phrases import OP13_SQL, op13_trie_collocations
 from medleaf.llm.sharding import op7_ring_sharding
 from medleaf.llm.spelling import op12_spelling_variants
@@ -39,4 +40,9 @@ def queries():
 
 def oracle_sql():
     """The others draw by hash, learn, pack or parse: tests hold them against brute force instead."""
-    return {"op8_segment_reassembly": OP8_SQL, "op13_trie_collocations": OP13_SQL}
+    return {
+        "op2_jaccard_join": linked_sql(4, 85, "n_shingles component_id n_links"),
+        "op8_segment_reassembly": OP8_SQL,
+        "op11_circulant_minhash": linked_sql(5, 85, "n_shingles component_id kept"),
+        "op13_trie_collocations": OP13_SQL,
+    }

@@ -16,6 +16,7 @@ from test_pairs import brute, near_copies
 
 from medleaf.llm import near_dedup as N
 from medleaf.llm import phrases as P
+from medleaf.llm import registry
 from medleaf.llm import spelling as S
 
 
@@ -71,6 +72,15 @@ def test_signatures_estimate_similarity():
     assert (1 - 0.85**N.ROWS) ** N.bands(85) < 1e-6
 
 
+@pytest.mark.parametrize("name", ["op2_jaccard_join", "op11_circulant_minhash"])
+def test_links_as_by_sql(spark, name):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/sf0.001/documents.parquet'")
+    want = con.sql(registry.oracle_sql()[name])
+    got = registry.queries()[name](spark, f"{DATA}/sf0.001").select(*want.columns)
+    assert rows(got) == sorted(want.fetchall(), key=repr)
+
+
 # spelling variants
 
 
