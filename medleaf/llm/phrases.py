@@ -43,7 +43,7 @@ from medleaf.llm.jaccard_join import bit, cells, mix, present, runs
 from medleaf.llm.tables import HUB, _salt, _salted, tally
 
 LEAST, LONGEST, INSIDE, MOST, PARTS_PER_MILLION = 10, 3, 50, 2000, 1_000_000
-BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 12 << 20, 1_500_000, 2 << 20, 27, 1 << 14
+BLOCK, TEXTS, HELD, KEYS, SAFE_BITS, SUMS = 2 << 20, 10 << 20, 1_500_000, 2 << 20, 27, 1 << 14
 GROUP = 1_000_000  # words of texts whose own counts are added up in one group
 UNKNOWN = "und"
 SPACE, LINE = 32, 10
@@ -100,6 +100,10 @@ class Block:
         start = self.starts[at]
         return mix((self._sums[self.ends[at + width - 1]] - self._sums[start]) * _powers.down[start] ^ self.lang)
 
+    def forget(self) -> None:
+        """Gives up what hashes need; they can be made again."""
+        self._sums = None
+
     def names(self, at: np.ndarray, width: int) -> list[bytes]:
         data = self.bytes.tobytes()
         return [data[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at + width - 1].tolist(), strict=True)]
@@ -243,7 +247,7 @@ class Trie:
         parents, labels, last = self._nodes(keys)
         n = len(parents) + 1
         first, count = runs(parents)
-        base, cell = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        base, cell = np.zeros(n, np.int32), np.zeros(n, np.int32)
         size = self._place(parents[first], first, count, labels, base)
         cell[1:] = base[parents] + labels
         self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
@@ -260,11 +264,11 @@ class Trie:
         data = np.frombuffer(b"".join(keys), np.uint8)
         length = np.array([len(k) for k in keys], np.int64)
         start = np.cumsum(length) - length
-        node, last = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        node, last = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
         parents, labels, nodes, active, depth = [], [], 1, np.arange(len(keys)), 0
         while len(active):
-            label = data[start[active] + depth].astype(np.int64)
-            edge = node[active] * 256 + label
+            label = data[start[active] + depth]
+            edge = node[active].astype(np.int64) * 256 + label
             new = np.r_[True, edge[1:] != edge[:-1]]
             parents.append(node[active][new])
             labels.append(label[new])
@@ -361,7 +365,8 @@ def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None, parts: int) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         main, roots = trie.value, {}
         total = np.zeros(-(-len(main.keys) // SUMS) * SUMS, np.int64)
-        held, size, own = [], 0, set()
+        held: list[tuple[bytes, Block, list[tuple[np.ndarray, np.ndarray]]]] = []
+        size = 0
         for lang, block in blocks(batches):
             prefix = f"{lang}\n".encode()
             root = roots[lang] if lang in roots else roots.setdefault(lang, main.root(prefix))
@@ -369,30 +374,47 @@ def counted(docs: DataFrame, keys: list[bytes], rest: Safe | None, parts: int) -
                 main.count(block.bytes, block.starts, root, total)
             if rest is None:
                 continue
+            found = []
             for width in range(1, len(rest.tables) + 1):
                 at, h = rest.phrases(block, width)
-                own.update([prefix + p + b" " for p in block.names(at[np.unique(h, return_index=True)[1]], width)])
-            held.append((prefix, block.bytes, block.starts))
+                h, first = np.unique(h, return_index=True)
+                found.append((at[first], h))
+            block.forget()
+            held.append((prefix, block, found))
             size += len(block.bytes)
             if size > TEXTS:
-                yield from here(main, own, held)
-                held, size, own = [], 0, set()
-        yield from here(main, own, held)
+                yield from here(main, held)
+                held, size = [], 0
+        yield from here(main, held)
         total = total.reshape(-1, SUMS)
         for b in np.flatnonzero(total.any(axis=1)):
             yield made([int(b)], [zlib.compress(total[b].tobytes(), 1)], [None], [None])
 
-    def here(main: Trie, own: set[bytes], held: list[tuple[bytes, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def here(main: Trie, held: list[tuple[bytes, Block, list[tuple[np.ndarray, np.ndarray]]]]) -> Iterator[pa.RecordBatch]:
         """Counts of phrases by a trie of a task's own; those that the trie of all counts are left out."""
+        own: set[bytes] = set()
+        for prefix in {p for p, _, _ in held}:
+            mine = [(block, found) for p, block, found in held if p == prefix]
+            for width in range(1, len(mine[0][1]) + 1):
+                # each hash is named in the first block that has it
+                first = np.unique(np.concatenate([found[width - 1][1] for _, found in mine]), return_index=True)[1]
+                begin = 0
+                for block, found in mine:
+                    at = found[width - 1][0]
+                    some = first[(first >= begin) & (first < begin + len(at))] - begin
+                    own.update([prefix + p + b" " for p in block.names(at[some], width)])
+                    begin += len(at)
         names = sorted(own)
+        del own
         names = [n for n, there in zip(names, main.holds(names), strict=True) if not there] if names else names
         if not names:
             return
-        mine = Trie(names)
+        trie_here = Trie(names)
         total = np.zeros(len(names), np.int64)
-        for prefix, data, starts in held:
-            if (root := mine.root(prefix)) is not None:
-                mine.count(data, starts, root, total)
+        for prefix, block, _ in held:
+            if (root := trie_here.root(prefix)) is not None:
+                trie_here.count(block.bytes, block.starts, root, total)
+        del trie_here
         packed: dict[tuple[int, bytes], list[int]] = {}
         for k, name in enumerate(names):
             packed.setdefault((zlib.crc32(name) % parts, name[: name.rindex(b"\n")]), []).append(k)
