@@ -19,6 +19,7 @@ from medleaf.operators.lookups import PACKAGE_FIELDS, PRODUCT_FIELDS
 from medleaf.operators.publish import laid_out
 
 BEGIN, END, LONGEST_GRAM = "\x02", "\x03", 3
+SALTS = 16
 
 
 def _pieces(c: Column) -> Column:
@@ -78,17 +79,25 @@ def matching_generic_names_of(products: DataFrame, patterns: DataFrame, grams: D
 def search_names(products: DataFrame, packages: DataFrame | None, names: DataFrame, groups: tuple[str, ...] = ("generic", "brand"), grams: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Products, or packages if given, of every name of a table (name: URL-encoded), with the name and the group that a row is
     of: sold under its generic name, or under another one.
+
+    Names are matched with what codes are sold as, each such set at most SALTS times; rows get their names last, by a join
+    after which nothing is sorted, grouped or sent.
     """
     if not groups:
         raise ValueError("at least one group is expected")
     asked = names.filter("name is not null").select("name").distinct().withColumn("pattern", decoded(F.col("name")))
-    generic = matching_generic_names_of(products, asked, grams, counts)
+    generic = matching_generic_names_of(products, asked, grams, counts).join(asked, "pattern").select("name", "generic_name")
     same, branded = F.coalesce(F.lower("generic_name") == F.lower("brand_name"), F.lit(False)), F.col("brand_name").isNotNull()
     of = F.when(same | ~branded, F.lit("generic")).otherwise(F.lit("brand"))
-    codes = products.select("generic_name", "product_ndc", of.alias("match_group")).filter(F.col("match_group").isin(*groups)).distinct()
-    codes = generic.join(codes, "generic_name").select("pattern", "product_ndc", "match_group").distinct()
-    rows = products.join(codes, "product_ndc").join(asked, "pattern")
+    coded = products.filter("product_ndc is not null").withColumn("__salt", F.pmod(F.xxhash64("product_ndc"), F.lit(SALTS)))
+    sold = coded.select("product_ndc", "__salt", F.struct("generic_name", of.alias("match_group")).alias("s")).filter(F.col("s.generic_name").isNotNull() & F.col("s.match_group").isin(*groups))
+    sold = sold.groupBy("product_ndc", "__salt").agg(F.sort_array(F.collect_set("s")).alias("__sold"))
+    found = sold.select("__sold", "__salt").distinct().select("__sold", "__salt", F.inline("__sold")).join(generic, "generic_name").select("__sold", "__salt", "name", "match_group").distinct()
+    rows = coded.join(sold, ["product_ndc", "__salt"])
+    # few bytes become very many rows: the number of partitions is given, and neither side is small enough to be broadcast
+    partitions = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = lambda df: df.repartition(partitions, "__sold", "__salt").hint("merge").join(found, ["__sold", "__salt"])
     if packages is None:
-        return rows.select("name", *PRODUCT_FIELDS, "match_group")
-    wanted = rows.select("name", "product_ndc", *PACKAGE_FIELDS[:4], "match_group")
-    return wanted.join(packages.withColumnRenamed("description", "package_description"), "product_ndc").select("name", *PACKAGE_FIELDS, "match_group")
+        return named(rows).select("name", *PRODUCT_FIELDS, "match_group")
+    wanted = rows.select("product_ndc", *PACKAGE_FIELDS[:4], "__sold", "__salt").join(packages.withColumnRenamed("description", "package_description"), "product_ndc")
+    return named(wanted).select("name", *PACKAGE_FIELDS, "match_group")

@@ -39,7 +39,7 @@ def _patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, like("%", F.split_part(name, F.lit(" "), F.lit(2))), like(F.substring(name, 1, 1), "%"), like("_", F.substring(name, 2, 100)), like("%", F.right(name, F.lit(2))),
         like(F.substring(name, 1, 2), "%", F.right(name, F.lit(1))), F.initcap("p_type"), like(F.substring("p_type", 1, 3), "____"), like("%", F.substring(name, 3, 2), "_", F.substring(name, 6, 1), "%"), F.lit("________"),
     )
-    rows = table(spark, sf_dir, "part").select(F.explode(asked).alias("pattern")).distinct()
+    rows = table(spark, sf_dir, "part").select("p_name", "p_type").distinct().select(F.explode(asked).alias("pattern")).distinct()
     return rows.select(F.replace(F.replace("pattern", F.lit("%"), F.lit("%25")), F.lit(" "), F.lit("%20")).alias("name"))
 
 

@@ -130,6 +130,33 @@ def test_search_of_many_names(spark):
         N.search_names(products, None, one, groups=())
 
 
+def test_names_of_codes_that_repeat(spark):
+    rng = random.Random(6)
+    kinds = "product_ndc string, generic_name string, brand_name string, dosage_form string, short_dosage_form string, labeler_name string"
+    data = [(rng.choice(["A", "B", "C", "D", "E", None]), rng.choice([*NAMES, None]), rng.choice([*NAMES, None]), "f", "s", str(k)) for k in range(60)]
+    asked = ["a%25", "%25r%25n%25", "_", "%25", "nothing"]
+    got = N.search_names(spark.createDataFrame(data, kinds), None, spark.createDataFrame([(a,) for a in asked], "name string"))
+    pairs, group = {r[:3] for r in data}, lambda a, b: "generic" if b is None or a.lower() == b.lower() else "brand"
+    want = []
+    for name in asked:
+        p = name.replace("%25", "%")
+        generic = {a for _, a, b in pairs if a is not None and (like(a, p) or (b is not None and like(b, p)))}
+        codes = {(c, group(a, b)) for c, a, b in pairs if c is not None and a in generic}
+        want += [(name, r[1], r[2], r[3], r[0], r[5], g) for r in data for c, g in codes if r[0] == c]
+    assert rows(got) == sorted(want, key=repr) and len(want) > 200
+
+
+def test_named_rows_are_not_grouped_again(spark):
+    kinds = "product_ndc string, generic_name string, brand_name string, dosage_form string, short_dosage_form string, labeler_name string"
+    products = spark.createDataFrame([(str(k), "one name", None, "f", "s", "l") for k in range(3000)], kinds)
+    names = spark.createDataFrame([(p,) for k in range(8) for p in ("one name"[:k] + "%25", "%25" + "one name"[k:])], "name string").distinct()
+    found = N.search_names(products, None, names)
+    assert found.select("name", "product_ndc").distinct().count() == found.count() == 3000 * 16
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert not re.search(r"Aggregate\(keys=\[(pattern|name)#\d+, product_ndc#", plan)
+
+
 def test_plan_of_names_joins_grams_only(spark, capsys):
     patterns = spark.createDataFrame([("a%",)], "pattern string")
     N.matching_names(patterns, spark.createDataFrame([("a", "ab")], "gram string, name string")).explain()
