@@ -184,14 +184,17 @@ def packages_by_rxnorm(products: DataFrame, packages: DataFrame, keys: object, i
 SALTS = 64
 
 
-def first_rows_per_key(rows: DataFrame, key: str, order: str, limit: int, salts: int = SALTS) -> DataFrame:
-    """The first `limit` rows of every key in the order of a column of distinct values.
+def first_rows_per_key(rows: DataFrame, key: str, order: str, limit: int, salts: int = SALTS, keys: DataFrame | None = None) -> DataFrame:
+    """The first `limit` rows of every key in the order of a column of distinct values; with a table of distinct keys, of
+    those keys only.
 
     In two steps: of the rows of a key and a salt, then of what is left of the key. Spark cuts both before their shuffles
-    too, so that no task gets more than salts * limit rows of a key, however many there are of it.
+    too, so that no task gets more than salts * limit rows of a key, however many there are of it. Keys are looked up between
+    the steps, by an inner join: Spark would do a semi join before them, which sends all rows of a key to one task.
     """
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(order), F.lit(salts)))
     some = salted.withColumn("__n", F.row_number().over(W.partitionBy(key, "__salt").orderBy(order))).filter(F.col("__n") <= limit)
+    some = some if keys is None else some.join(keys, key)
     return some.withColumn("__n", F.row_number().over(W.partitionBy(key).orderBy(order))).filter(F.col("__n") <= limit).drop("__n", "__salt")
 
 
@@ -216,7 +219,7 @@ def _evidence_of_keys(evidence: DataFrame, bridge: DataFrame, keys: DataFrame, k
     rest of a row is fetched for those that are left.
     """
     wanted = keys.select(F.trim(F.col(key)).alias(key)).distinct()
-    pairs = first_rows_per_key(bridge.join(wanted, key, "left_semi"), key, "evidence_id", _limited(limit))
+    pairs = first_rows_per_key(bridge, key, "evidence_id", _limited(limit), keys=wanted)
     return evidence.withColumn("__id", F.col("evidence_id")).drop("evidence_id", key).join(pairs, F.col("__id") == F.col("evidence_id")).drop("__id")
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Fixed values.
 LEAST_SHARE, LEAST_EVIDENCE, ID_LENGTH = 0.95, 100, 32
+#: Rows of evidence for each range of its bridges.
+RANGE_ROWS = 1_000_000
 
 
 class GateError(RuntimeError):
@@ -148,11 +150,13 @@ def laid_out(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
-def sorted_by(df: DataFrame, table: str, *columns: str) -> None:
+def sorted_by(df: DataFrame, table: str, *columns: str, least: int = 0) -> None:
     """Writes a table in ranges of some columns, so that a lookup reads the files and row groups that may hold its key. Unlike
-    a bucket, a range that ends in a column of distinct values splits a key that many rows have.
+    a bucket, a range that ends in a column of distinct values splits a key that many rows have. There are at least `least`
+    ranges, where that is more than the session's number of shuffle partitions.
     """
-    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").saveAsTable(table)
+    more = [least] if least > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    df.repartitionByRange(*more, *columns).sortWithinPartitions(*columns).write.mode("overwrite").saveAsTable(table)
 
 
 def store_evidence(spark: SparkSession, evidence: DataFrame, run: str, prefix: str = "", least: int = LEAST_EVIDENCE, allow_empty: bool = False) -> None:
@@ -169,6 +173,6 @@ def store_evidence(spark: SparkSession, evidence: DataFrame, run: str, prefix: s
     rows = spark.read.table(staged)
     bridges = {f"{prefix}evidence_rxnorm": ("rxnorm_ids", "rxnorm_id"), f"{prefix}evidence_product": ("product_ndc", "product_code")}
     for bridge, (ids, key) in bridges.items():
-        sorted_by(evidence_bridge(rows, ids, key), staged_name(bridge, run), key, "evidence_id")
+        sorted_by(evidence_bridge(rows, ids, key), staged_name(bridge, run), key, "evidence_id", least=seen.get["n"] // RANGE_ROWS)
     for table in (*bridges, name):
         publish_by_replacement(spark, table, run)

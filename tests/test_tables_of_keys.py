@@ -30,6 +30,21 @@ def test_first_rows_are_cut_before_they_are_dealt(spark, capsys):
     assert capsys.readouterr().out.count("WindowGroupLimit") >= 4  # each step before and behind its shuffle
 
 
+def test_keys_are_looked_up_among_what_is_cut(spark):
+    bridge = spark.range(40_000).select(F.when(F.col("id") >= 0, "hot").alias("rxnorm_id"), F.format_string("%06d", "id").alias("evidence_id"))
+    evidence, keys = bridge.select("evidence_id"), spark.createDataFrame([("hot",), ("cold",)] * 5, "rxnorm_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = L.evidence_by_rxnorm(evidence, keys, limit=5, bridge=bridge)
+        assert [r.evidence_id for r in found.orderBy("evidence_id").collect()] == [f"{k:06d}" for k in range(5)]
+        found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    below = plan[re.search(r"Exchange hashpartitioning\(rxnorm_id#\d+, \d+\)", plan).start():]
+    assert "WindowGroupLimit" in below[:below.index("Range (")]  # what goes to a key's task has been cut
+
+
 @pytest.fixture(scope="module")
 def evidence(spark):
     data = [(f"e{k:04d}", ["all", f"rx{k % 7}", "all"] if k % 11 else None, [f"p{k % 3}"], f"l{k}") for k in range(900)]
