@@ -8,12 +8,13 @@ time, with a state of three values.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -90,6 +91,10 @@ LIVE = (
     "run_id string, updated_at timestamp, started_at timestamp, importer string, source string, confidence string, status string, phase string, unit string, "
     "message string, label string, done double, total double, pct double, eta_seconds double, estimated_finish_at timestamp, stale boolean"
 )
+UPDATE_FIELDS, LIVE_FIELDS = ([tuple(c.split()) for c in text.split(", ")] for text in (UPDATE, LIVE))
+NOTHING, SHOWN = {n: None for n, _ in UPDATE_FIELDS}, Row(*[n for n, _ in LIVE_FIELDS])
+NUMBERS = frozenset(n for n, t in UPDATE_FIELDS if t == "double")
+AT_ONCE = 10_000
 DEFAULTS = {"importer": "unknown", "source": "import-live-progress", "confidence": "live", "status": "running"}
 CARRIED = ("importer", "source", "confidence")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -124,7 +129,7 @@ def merged_late(before: dict | None, update: dict) -> dict:
     return before | known | {"started_at": min(starts, default=None)}
 
 
-def _shown(run: object, update: dict, kept: dict, stale: bool = False) -> pd.DataFrame:
+def _shown(run: object, update: dict, kept: dict, stale: bool = False) -> Row:
     """The row of LIVE of a run's last update."""
     status = update["status"] or DEFAULTS["status"]
     ended = status.lower() in TERMINAL
@@ -143,10 +148,8 @@ def _shown(run: object, update: dict, kept: dict, stale: bool = False) -> pd.Dat
             eta = (total - done) * spent / done
     if ended and done is None:
         done = total
-    time = lambda x: None if x is None else pd.Timestamp(int(x), unit="us")
-    finish = time(update["updated_at"] + round(eta * MICROS)) if eta is not None and eta >= 0 else None
-    row = (run, time(update["updated_at"]), time(kept["started_at"]), *(kept[c] for c in CARRIED), status, *(update[c] for c in ("phase", "unit", "message", "label")), done, total, pct, eta, finish, stale)
-    return pd.DataFrame([row], columns=[c.split()[0] for c in LIVE.split(", ")])
+    finish = update["updated_at"] + round(eta * MICROS) if eta is not None and eta >= 0 else None
+    return SHOWN(run, update["updated_at"], kept["started_at"], *(kept[c] for c in CARRIED), status, *(update[c] for c in ("phase", "unit", "message", "label")), done, total, pct, eta, finish, stale)
 
 
 class LiveProgress(StatefulProcessor):
@@ -163,11 +166,10 @@ class LiveProgress(StatefulProcessor):
         self.kept = handle.getValueState("kept", "row string", KEEP_SECONDS * 1000)
         self.recent = handle.getListState("recent", "row string", KEEP_SECONDS * 1000)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        kept = json.loads(self.kept.get()[0]) if self.kept.exists() else None
-        recent = [json.loads(x[0]) for x in self.recent.get()] if self.recent.exists() else []
-        for batch in rows:
-            recent += [_plain(r) for r in batch.to_dict("records")]
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:  # noqa: N802, N803
+        kept, recent = self._state()
+        for some in itertools.batched(rows, AT_ONCE):
+            recent += [_plain(r["update"]) for r in some]
             recent, kept = self._settled(recent, kept)
         self.recent.put([(json.dumps(u),) for u in recent])
         if kept is not None:
@@ -177,10 +179,14 @@ class LiveProgress(StatefulProcessor):
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + STALE_SECONDS * 1000)
         yield self._last(key, recent, kept)
 
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        kept = json.loads(self.kept.get()[0]) if self.kept.exists() else None
-        if self.recent.exists():
-            yield self._last(key, [json.loads(x[0]) for x in self.recent.get()], kept, stale=True)
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        kept, recent = self._state()
+        if recent:
+            yield self._last(key, recent, kept, stale=True)
+
+    def _state(self) -> tuple[dict | None, list[dict]]:
+        kept = self.kept.get()
+        return json.loads(kept[0]) if kept else None, [json.loads(x[0]) for x in self.recent.get()]
 
     def close(self) -> None:
         pass
@@ -193,16 +199,16 @@ class LiveProgress(StatefulProcessor):
         return [u for u in recent[:-1] if u["updated_at"] > until] + recent[-1:], kept
 
     @staticmethod
-    def _last(key: tuple, recent: list[dict], kept: dict | None, stale: bool = False) -> pd.DataFrame:
+    def _last(key: tuple, recent: list[dict], kept: dict | None, stale: bool = False) -> Row:
         for u in recent:
             kept = carried(kept, u)
         return _shown(key[0], recent[-1], kept, stale)
 
 
-def _plain(row: dict) -> dict:
-    """An update with nulls as None and times in microseconds."""
-    out = {c: None if pd.isna(v) else v for c, v in row.items()}
-    return out | {c: None if out[c] is None else out[c].value // 1000 for c in ("updated_at", "started_at")} | {"event_id": None if out["event_id"] is None else int(out["event_id"])}
+def _plain(written: str) -> dict:
+    """An update from JSON, in which what is null is left out and numbers that are not finite are texts."""
+    out = NOTHING | json.loads(written)
+    return out | {c: float(v) for c, v in out.items() if c in NUMBERS and isinstance(v, str)}
 
 
 def live_progress_stream(updates: DataFrame, late_seconds: float = LATE_SECONDS) -> DataFrame:
@@ -216,9 +222,13 @@ def live_progress_stream(updates: DataFrame, late_seconds: float = LATE_SECONDS)
     all is read needs batches without data switched off (see read_to_end).
     """
     have = set(updates.columns)
-    columns = [F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in UPDATE.split(", "))]
+    columns = [F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in UPDATE_FIELDS]
     rows = updates.select(*columns).filter("updated_at is not null and trim(run_id) <> ''").withColumns({"run_id": F.trim("run_id"), "event_id": F.coalesce("event_id", F.lit(0))})
-    return rows.groupBy("run_id").transformWithStateInPandas(LiveProgress(late_seconds), LIVE, "Update", "ProcessingTime")
+    # one text for each update: cells cost Python more than what is in them
+    plain = {"timestamp": F.unix_micros, "double": lambda c: F.when(~F.isnan(c), c)}
+    update = F.to_json(F.struct(*[plain.get(t, F.col)(F.col(n) if t in plain else n).alias(n) for n, t in UPDATE_FIELDS if n in have - {"run_id"} | {"event_id"}]))
+    found = rows.select("run_id", update.alias("update")).groupBy("run_id").transformWithState(LiveProgress(late_seconds), LIVE.replace("timestamp", "long"), "Update", "ProcessingTime")
+    return found.withColumns({n: F.timestamp_micros(n) for n, t in LIVE_FIELDS if t == "timestamp"})
 
 
 def read_to_end(spark: SparkSession, writer: DataStreamWriter) -> None:

@@ -11,6 +11,7 @@ import zipfile
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,6 +234,47 @@ def test_very_late_updates_still_count(spark, tmp_path):
     assert S.merged_late({"at": 10**15, "started_at": None, "importer": "x", "source": "s", "confidence": "c"}, {"updated_at": 0, "started_at": 5, "importer": "y", "source": None, "confidence": None})["started_at"] is None
 
 
+class Kept:
+    """State, timers and clock of one run, with the number of calls."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def getListState(self, *_):  # noqa: N802
+        return Kept()
+
+    def get(self):
+        self.calls += 1
+        return self.value or ()
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    put = update
+
+    def listTimers(self):  # noqa: N802
+        self.calls += 1
+        return []
+
+    def registerTimer(self, _):  # noqa: N802
+        self.calls += 1
+
+    def getCurrentProcessingTimeInMs(self):  # noqa: N802
+        return 0
+
+
+def test_live_progress_takes_updates_as_texts():
+    run, handle = S.LiveProgress(HOUR), Kept()
+    run.init(handle)
+    texts = [f'{{"event_id":{k},"updated_at":{k * 10**6},"importer":"ndc","started_at":0,"done":{k}.0,"total":100.0,"eta_seconds":"Infinity"}}' for k in range(1, 51)]
+    [last] = run.handleInputRows(("a",), iter([Row(run_id="a", update=t) for t in texts]), handle)
+    assert (last.run_id, last.updated_at, last.started_at, last.importer, last.done, last.pct, last.eta_seconds, last.estimated_finish_at) == ("a", 50 * 10**6, 0, "ndc", 50.0, 50.0, 50.0, 100 * 10**6)
+    assert handle.calls <= 4  # of the run, not of its updates
+
+
 def test_gaps(spark):
     day = 24 * HOUR
     data = [("a", 1, at(0)), ("a", 2, at(2 * day)), ("a", 3, at(4 * day + 1)), ("a", 4, at(5 * day)), ("b", 1, at(0)), ("b", 2, at(2 * day)), ("c", 1, at(0)), ("c", 2, at(9 * day)), ("c", 3, at(18 * day))]
