@@ -20,12 +20,19 @@ from medleaf.plans.bindings import PRODUCTS, labels, products, shared_folder, ta
 from medleaf.sources import archives
 
 
+def _dealt(rows: DataFrame, order: str) -> DataFrame:
+    """rows with the number of their document (g), those of one on one task."""
+    return rows.withColumn("g", F.floor(F.col(order) / 500)).repartition("g")
+
+
 def _landed(rows: DataFrame, record, order: str) -> str:
-    """Writes records as JSON documents {"results": [...]} of 500 at most to the shared folder; gives the folder."""
+    """Writes records as zipped JSON documents {"results": [...]} of 500 at most to the shared folder; gives the folder. Rows
+    that are dealt by document already (_dealt) are not sent again.
+    """
     path = f"{shared_folder(rows.sparkSession)}/landed-{uuid.uuid4().hex}"
-    groups = rows.select(F.floor(F.col(order) / 500).alias("g"), F.struct(order, record.alias("r")).alias("x"))
+    groups = (rows if "g" in rows.columns else _dealt(rows, order)).select("g", F.struct(order, record.alias("r")).alias("x"))
     texts = groups.groupBy("g").agg(F.array_sort(F.collect_list("x")).alias("x")).select(F.to_json(F.struct(F.transform("x", lambda v: v["r"]).alias("results"))).alias("value"))
-    texts.write.option("maxRecordsPerFile", 1).text(path)  # the reader takes a file as one document
+    texts.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)  # the reader takes a file as one document
     return path
 
 
@@ -62,7 +69,8 @@ def import_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.format_string("%05d", "l_orderkey"), F.format_string("%04d", "l_partkey"), F.format_string("%02d", "l_linenumber")).alias("package_ndc"),
         F.format_string("%d TABLET in %d BOTTLE (1-2-%d)", F.col("l_quantity").cast("int"), "l_linenumber", "l_suppkey").alias("description"), (F.col("l_tax") > 0).alias("sample"),
     )
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("packaging"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax")
+    rows = _dealt(lines, "l_orderkey").groupBy("g", "l_orderkey").agg(F.collect_list(line).alias("packaging"))
     record = F.struct(F.col("l_orderkey").cast("string").alias("product_ndc"), F.when(F.col("l_orderkey") % 2 == 0, "TABLET").otherwise("CAPSULE").alias("dosage_form"), "packaging")
     path = _landed(rows, record, "l_orderkey")
     out = product_ops.packages(archives.read_records(spark, path, schemas.PRODUCT_RECORD))

@@ -7,6 +7,7 @@ import io
 import json
 import random
 import zipfile
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -20,8 +21,10 @@ from medleaf.operators import products as P
 from medleaf.operators import runs as R
 from medleaf.operators import versions as V
 from medleaf.operators.publish import GateError, counted
+from medleaf.plans import records
 from medleaf.schemas import PRODUCT_RECORD
 from medleaf.sources import archive_source as A
+from medleaf.sources import archives
 from medleaf.streaming import ingest
 from medleaf.streaming import progress as S
 
@@ -280,3 +283,17 @@ def test_gaps(spark):
     data = [("a", 1, at(0)), ("a", 2, at(2 * day)), ("a", 3, at(4 * day + 1)), ("a", 4, at(5 * day)), ("b", 1, at(0)), ("b", 2, at(2 * day)), ("c", 1, at(0)), ("c", 2, at(9 * day)), ("c", 3, at(18 * day))]
     got = rows(R.after_last_gap(spark.createDataFrame(data, "run_id string, seq int, updated_at timestamp_ntz"), "run_id", "updated_at").select("run_id", "seq"))
     assert got == [("a", 3), ("a", 4), ("b", 1), ("b", 2), ("c", 3)]
+
+
+# landed records
+
+
+def test_landed_records_are_zipped_and_whole(spark, capsys):
+    lines = records._dealt(spark.range(3000).select((F.col("id") % 1100).alias("k"), F.col("id").cast("string").alias("v")), "k")
+    grouped = lines.groupBy("g", "k").agg(F.sort_array(F.collect_list("v")).alias("pharm_class"))
+    grouped.groupBy("g").agg(F.collect_list("pharm_class")).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+    path = records._landed(grouped, F.struct(F.col("k").cast("string").alias("product_ndc"), "pharm_class"), "k")
+    assert len(list(Path(path).glob("*.gz"))) == len(list(Path(path).glob("part-*"))) == 3
+    got = archives.read_records(spark, path, T.StructType().add("product_ndc", "string").add("pharm_class", T.ArrayType(T.StringType()))).select("record.*")
+    assert rows(got) == sorted(((str(k), sorted(str(i) for i in range(k, 3000, 1100))) for k in range(1100)), key=repr)
