@@ -38,12 +38,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medleaf.llm.common import fold, forget, lower_words, remembered, stored, table, utf8
+from medleaf.llm.common import fold, forget, remembered, stored, table, utf8
 
-DICTIONARY, HOT, FLUSH, DOC_BITS, REMEMBERED = 1 << 20, 512, 1_000_000, 14, 300_000
+DICTIONARY, HOT, FLUSH, DOC_BITS = 1 << 20, 512, 1_000_000, 14
 NONE = 0xFFFFFFFF
-RECORD = np.dtype([("h", "<u8"), ("r", "<u4")])
 LEVELS = 256
+SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))  # as bytes.split has it
 
 
 def hash_of(words: list[bytes]) -> np.ndarray:
@@ -53,47 +53,45 @@ def hash_of(words: list[bytes]) -> np.ndarray:
 END = int(hash_of([b"\nend of text\n"])[0])  # holds white space: no word is spelled so
 
 
+def spelled(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the distinct words of some texts, number of each word that stands there, words of each text)."""
+    data = np.frombuffer(b"\n".join([b"", *(t or b"" for t in texts), b""]).lower(), np.uint8)
+    space = SPACE[data]
+    starts, ends = (np.flatnonzero(edge) + 1 for edge in (space[:-1] & ~space[1:], ~space[:-1] & space[1:]))
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]).dictionary_encode()
+    limits = np.cumsum([1, *(len(t or b"") + 1 for t in texts)])
+    return hash_of(found.dictionary.to_pylist()), found.indices.to_numpy(), np.diff(np.searchsorted(starts, limits))
+
+
 class Words:
-    """Hashes of words and their ranks in a table (NONE if they have none), remembered up to a bound."""
+    """Hashes of words and their ranks in a table (NONE if they have none)."""
 
     def __init__(self, hashes: np.ndarray, ranks: np.ndarray):
-        self.hashes, self.ranks, self.seen = hashes, ranks, {}
-        self.end = self.records(np.array([END], np.uint64))
-
-    def records(self, h: np.ndarray) -> bytes:
-        out = np.empty(len(h), RECORD)
-        out["h"], out["r"] = h, NONE
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            out["r"] = np.where(self.hashes[at] == h, self.ranks[at], NONE)
-        return out.tobytes()
-
-    def packed(self, text: bytes | None) -> bytes:
-        """Records of the words and the end token."""
-        words, seen = lower_words(text), self.seen
-        try:
-            return b"".join(map(seen.__getitem__, words)) + self.end
-        except KeyError:
-            pass
-        if len(seen) > REMEMBERED:
-            seen.clear()
-        new = [w for w in set(words) if w not in seen]
-        records, size = self.records(hash_of(new)), RECORD.itemsize
-        for k, w in enumerate(new):
-            seen[w] = records[k * size : k * size + size]
-        return b"".join(map(seen.__getitem__, words)) + self.end
+        self.hashes, self.ranks = hashes, ranks
+
+    def ranked(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(h), NONE, np.uint32)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, self.ranks[at], NONE).astype(np.uint32)
 
     def tokens(self, texts: list[bytes | None], end_rank: int = NONE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, ranks, ranks of the token before, number of the text) of all tokens of some texts. Before a text's
         first token stands the end token.
         """
-        parts = [self.packed(t) for t in texts]
-        found = np.frombuffer(b"".join(parts), RECORD)
-        sizes = np.array([len(p) for p in parts], np.int64) // RECORD.itemsize
-        h, r = np.ascontiguousarray(found["h"]), np.ascontiguousarray(found["r"])
+        hashes, words, sizes = spelled(texts)
+        hashes = np.append(hashes, np.uint64(END))
+        sizes = sizes + 1
+        ends = np.cumsum(sizes) - 1
+        word = np.full(int(sizes.sum()), len(hashes) - 1)
+        inside = np.ones(len(word), bool)
+        inside[ends] = False
+        word[inside] = words
+        h, r = hashes[word], self.ranked(hashes)[word]
         before = np.empty_like(r)
         before[1:] = r[:-1]
-        before[np.cumsum(sizes) - sizes] = end_rank
+        before[ends + 1 - sizes] = end_rank
         return h, r, before, np.repeat(np.arange(len(texts)), sizes)
 
 
@@ -194,14 +192,13 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(key, n): tokens of the training rows, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(np.zeros(0, np.uint64), np.zeros(0, np.uint32))
         keys, counts, held = [], [], 0
         for batch in batches:
             for _, texts in in_pieces(batch):
-                k, n = np.unique(words.tokens(texts)[0], return_counts=True)
-                keys.append(k)
-                counts.append(n.astype(np.int64))
-                held += len(k)
+                k, words, _ = spelled(texts)
+                keys.append(np.append(k, np.uint64(END)))
+                counts.append(np.append(np.bincount(words, minlength=len(k)), len(texts)).astype(np.int64))
+                held += len(k) + 1
             if held > FLUSH:
                 k, n = added(keys, counts)
                 keys, counts, held = [k], [n], 0 if len(k) < FLUSH else len(k) - FLUSH

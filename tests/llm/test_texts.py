@@ -240,6 +240,15 @@ def test_planes():
     assert (LM.unplanes(LM.planes(x, 7), 7) == x).all() and len(LM.unplanes(LM.planes(x[:0], 3), 3)) == 0
 
 
+@pytest.mark.parametrize("texts", [[None], [b"", None, b" \n"], ["A b\x0bB\x0ca\x1ca\x85é É\0 \t\r\nword".encode(), b"a", None, b" b ", b"A\xff b"]])
+def test_words_are_those_of_split(texts):
+    words = [(t or b"").lower().split() for t in texts]
+    hashes, place, sizes = LM.spelled(texts)
+    assert sizes.tolist() == [len(w) for w in words]
+    assert hashes[place].tolist() == LM.hash_of([w for some in words for w in some]).tolist() and len(set(hashes.tolist())) == len(hashes)
+    assert [len(x) for x in LM.Words(np.zeros(0, np.uint64), np.zeros(0, np.uint32)).tokens(texts)] == [sum(sizes) + len(texts)] * 4
+
+
 def test_language_model_of_nothing(spark):
     assert LM.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert LM.lm_scores(spark.createDataFrame([(1, None)], "doc_id long, text string")).first().n_tokens == 1
